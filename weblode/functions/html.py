@@ -28,13 +28,14 @@ _INVISIBLE = (
     r"|<(script|style)" + _NAME_END + r".*?(</\1" + _NAME_END + r"|\z)"
 )
 
-# Everything before the body: up to <body>, else up to </head>, else a leading
-# <title>.
+# Everything before the body: up to <body>, else up to </head>, else up to the
+# end of a <title> that only other head elements precede.
+_HEAD_TAG = r"</?(?:html|head|base|link|meta|noscript|script|style)" + _NAME_END
 _BEFORE_BODY = (
     r"(?is)\A(?:"
     r".*?<body" + _NAME_END + _ATTRS + _TAG_END + r"|"
     r".*?</head" + _NAME_END + r"[^>]*+" + _TAG_END + r"|"
-    r"(?:\s++|<(?!title[\s/>])[^>]*+>)*+<title" + _NAME_END + r"[^>]*+>"
+    r"(?:\s++|(?:<[!?]|" + _HEAD_TAG + r")[^>]*+>)*+<title" + _NAME_END + r"[^>]*+>"
     r".*?(?:</title" + _NAME_END + r"[^>]*+" + _TAG_END + r"|\z))"
 )
 

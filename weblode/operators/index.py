@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weblode.functions.html import body_text
 from weblode.functions.text import has_word, is_word, split_tokens, trim_token
-from weblode.operators.skew import assign_slots, heavy_keys
+from weblode.operators.skew import group_in_slots
 
 # Longest packed list: about 8 MB of text at 80 bytes per entry.
 ENTRIES_PER_LIST = 100_000
@@ -53,14 +53,9 @@ def posting_lists(postings: DataFrame, per_list: int = ENTRIES_PER_LIST) -> Data
     A word with more than ``per_list`` pages gets several rows, so no list
     grows with the corpus. ``postings`` is read twice; pass a stored table.
     """
-    heavy = heavy_keys(postings, "word", per_list)
-    slotted = assign_slots(postings, "word", "url", heavy)
     entries = F.array_sort(F.collect_list(F.struct("url", "count")))
     packed = F.transform(
         entries, lambda e: F.concat_ws("|", e["url"], e["count"].cast("string"))
     )
-    return (
-        slotted.groupBy("word", "slot")
-        .agg(F.array_join(packed, "|").alias("postings"))
-        .drop("slot")
-    )
+    lists = group_in_slots(postings, "word", "url", per_list)
+    return lists.agg(F.array_join(packed, "|").alias("postings")).select("word", "postings")

@@ -13,7 +13,7 @@ from weblode.functions.urls import (
     strip_html_ext,
 )
 from weblode.operators.index import ENTRIES_PER_LIST
-from weblode.operators.skew import assign_slots, heavy_keys
+from weblode.operators.skew import group_in_slots
 
 
 def raw_links(pages: DataFrame) -> DataFrame:
@@ -48,7 +48,6 @@ def adjacency_lists(edges: DataFrame, per_list: int = ENTRIES_PER_LIST) -> DataF
     """``(src, links)`` with links packed as ``url|url…``; a source with more
     than ``per_list`` links gets several rows. ``edges`` is read twice; pass a
     stored table."""
-    heavy = heavy_keys(edges, "src", per_list)
-    slotted = assign_slots(edges, "src", "dst", heavy)
     links = F.array_join(F.array_sort(F.collect_set("dst")), "|")
-    return slotted.groupBy("src", "slot").agg(links.alias("links")).drop("slot")
+    lists = group_in_slots(edges, "src", "dst", per_list)
+    return lists.agg(links.alias("links")).select("src", "links")

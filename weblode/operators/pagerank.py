@@ -3,13 +3,13 @@
 Rank of a page without links is not passed on, so ranks sum to the number of
 nodes only when every node has a link.
 
-Two tables drive the loop. ``links(src, dst, slot)`` is laid out by source
-once and stays put: ids are 16 bytes instead of whole URLs, and a source with
-more than ``LINKS_PER_SLOT`` links is cut into slots so that no partition
-holds all of it. ``state(id, out_degree, slots, rank)`` has a row per node and
-is rewritten every step. A step shuffles the state twice and the link shares
-once, after summing them per target on the map side, which also takes care of
-targets that everybody links to.
+Two tables drive the loop. ``links(src, dst)`` is laid out by source once and
+stays put: ids are 16 bytes instead of whole URLs, and sources with more than
+``LINKS_PER_SLOT`` links, if there are any, are cut into slots so that no
+partition holds all of one. ``state(id, out_degree, slots, rank)`` has a row
+per node and is rewritten every step. A step shuffles one share per source to
+the links, and what the targets receive, summed per target on the map side
+first, so that a target of everybody's links is no burden.
 """
 
 from __future__ import annotations
@@ -61,30 +61,64 @@ def rank_nodes(
     )
 
 
-def rank_links(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Link table ``(src, dst, slot)``; ``nodes`` must be a stored table."""
+def rank_links(edges: DataFrame, nodes: DataFrame, n_heavy: int) -> DataFrame:
+    """Link table ``(src, dst)``, with ``slot`` if ``n_heavy`` sources need
+    more than one."""
     links = edges.select(_node_id("src").alias("src"), _node_id("dst").alias("dst"))
     heavy = nodes.where(F.col("slots") > 1).select(F.col("id").alias("src"), "slots")
-    return assign_slots(links, "src", "dst", heavy)
+    return assign_slots(links, "src", "dst", heavy, n_heavy)
 
 
-def pagerank_step(links: DataFrame, state: DataFrame, damping: float = DAMPING) -> DataFrame:
-    """One step: the state with every node's rank renewed."""
-    slot = F.explode(F.sequence(F.lit(0), F.col("slots") - 1))
-    shares = state.where((F.col("out_degree") > 0) & F.col("rank").isNotNull()).select(
-        F.col("id").alias("src"),
-        slot.alias("slot"),
-        (F.col("rank") / F.col("out_degree")).alias("share"),
-    )
-    received = (
-        links.join(shares, ["src", "slot"])
-        .groupBy(F.col("dst").alias("id"))
-        .agg(F.sum("share").alias("received"))
+def layout(links: DataFrame) -> list[str]:
+    """Columns that links are partitioned by and joined on."""
+    return [c for c in ("src", "slot") if c in links.columns]
+
+
+def lay_out(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Persisted links, partitioned and sorted so that no step has to shuffle
+    them; lost partitions are read again from ``edges``. Filling the cache here
+    lets the steps rely on its partitioning."""
+    n_links, n_heavy = nodes.agg(
+        F.coalesce(F.sum("out_degree"), F.lit(0)), F.count_if(F.col("slots") > 1)
+    ).first()
+    partitions = max(
+        int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        -(-n_links // LINKS_PER_PARTITION),
     )
-    rank = (1 - damping) + damping * F.coalesce("received", F.lit(0.0))
-    return state.join(received, "id", "left").select(
-        "id", "out_degree", "slots", rank.alias("rank")
+    links = rank_links(edges, nodes, n_heavy)
+    keys = layout(links)
+    links = links.repartition(partitions, *keys).sortWithinPartitions(*keys).persist()
+    links.count()
+    return links
+
+
+def pagerank_step(links: DataFrame, state: DataFrame, damping: float = DAMPING) -> DataFrame:
+    """One step: the state with every node's rank renewed.
+
+    Shares and node rows are summed together, so a node without in-links keeps
+    its row and no join is needed to bring the two together.
+    """
+    keys = layout(links)
+    shares = state.where((F.col("out_degree") > 0) & F.col("rank").isNotNull())
+    share = (F.col("rank") / F.col("out_degree")).alias("share")
+    if "slot" in keys:
+        slot = F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot")
+        shares = shares.select(F.col("id").alias("src"), slot, share)
+    else:
+        shares = shares.select(F.col("id").alias("src"), share)
+    received = links.join(shares, keys).select(F.col("dst").alias("id"), "share")
+    own = state.select("id", F.lit(0.0).alias("share"), "out_degree", "slots")
+    renewed = (
+        own.unionByName(received, allowMissingColumns=True)
+        .groupBy("id")
+        .agg(
+            F.max("out_degree").alias("out_degree"),
+            F.max("slots").alias("slots"),
+            F.sum("share").alias("received"),
+        )
     )
+    rank = (1 - damping) + damping * F.col("received")
+    return renewed.select("id", "out_degree", "slots", rank.alias("rank"))
 
 
 def page_rank(
@@ -104,25 +138,16 @@ def page_rank(
         raise ValueError(f"iterations must not be negative: {iterations}")
     spark = edges.sparkSession
     nodes = stage(rank_nodes(edges, initial, links_per_slot))
-    n_links = nodes.agg(F.coalesce(F.sum("out_degree"), F.lit(0))).first()[0]
-    partitions = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        -(-n_links // LINKS_PER_PARTITION),
-    )
-    links = (
-        rank_links(edges, nodes)
-        .repartition(partitions, "src", "slot")
-        .sortWithinPartitions("src", "slot")
-        .persist()
-    )
-    # Steps alternate between two tables: one is read while the other is
-    # replaced, so the disk holds two states however many steps are run.
-    tables = [scratch_dir(spark), scratch_dir(spark)]
     state = nodes.drop("url")
-    try:
-        for i in range(iterations):
-            state = stage(pagerank_step(links, state, damping), tables[i % 2])
-    finally:
-        links.unpersist()
+    if iterations:
+        links = lay_out(edges, nodes)
+        # Steps alternate between two tables: one is read while the other is
+        # replaced, so the disk holds two states however many steps are run.
+        tables = [scratch_dir(spark), scratch_dir(spark)]
+        try:
+            for i in range(iterations):
+                state = stage(pagerank_step(links, state, damping), tables[i % 2])
+        finally:
+            links.unpersist()
     ranks = nodes.select("id", "url").join(state.select("id", "rank"), "id")
     return ranks.where(F.col("rank").isNotNull()).select("url", "rank")

@@ -1,13 +1,13 @@
 """Spreading keys that own too many rows.
 
 A word on every page, or a page with a third of all links, would put its rows
-into one task. Such heavy keys are split into slots of bounded size; ordinary
-keys keep the single slot 0.
+into one task. Such heavy keys are split into slots of bounded size; all others
+stay in slot 0.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from weblode.scratch import stage
@@ -27,13 +27,14 @@ def heavy_keys(df: DataFrame, key: str, rows_per_slot: int) -> DataFrame:
     return stage(heavy.select(key, slots_needed("n", rows_per_slot).alias("slots")))
 
 
-def assign_slots(df: DataFrame, key: str, spread_by: str, heavy: DataFrame) -> DataFrame:
-    """Add ``slot``. ``heavy`` (key, slots) must be a stored table: its size
-    decides how it is joined. It is broadcast only while small; beyond that
+def assign_slots(
+    df: DataFrame, key: str, spread_by: str, heavy: DataFrame, n_heavy: int
+) -> DataFrame:
+    """Add ``slot``, unless there are no heavy keys. ``heavy`` (key, slots) has
+    ``n_heavy`` rows, and is broadcast only while those are few; beyond that
     the join shuffles, and adaptive execution splits the skewed side."""
-    n_heavy = heavy.count()
     if n_heavy == 0:
-        return df.withColumn("slot", F.lit(0))
+        return df
     if n_heavy <= MAX_BROADCAST_KEYS:
         heavy = F.broadcast(heavy)
     slot = F.pmod(F.xxhash64(spread_by), F.col("slots")).cast("int")
@@ -42,3 +43,13 @@ def assign_slots(df: DataFrame, key: str, spread_by: str, heavy: DataFrame) -> D
         .withColumn("slot", F.coalesce(slot, F.lit(0)))
         .drop("slots")
     )
+
+
+def group_in_slots(
+    df: DataFrame, key: str, spread_by: str, rows_per_slot: int
+) -> GroupedData:
+    """``df`` grouped by key, heavy keys in several groups each. Reads ``df``
+    twice."""
+    heavy = heavy_keys(df, key, rows_per_slot)
+    slotted = assign_slots(df, key, spread_by, heavy, heavy.count())
+    return slotted.groupBy(key, *(["slot"] if "slot" in slotted.columns else []))

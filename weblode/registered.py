@@ -12,7 +12,7 @@ from weblode.operators.pagerank import page_rank
 from weblode.plans import pipeline, search, store
 from weblode.scratch import scratch_dir, stage
 from weblode.sources import packed
-from weblode.sources.tables import read_documents, read_pages
+from weblode.sources.tables import read_documents, read_pages, spread
 
 STEPS = 10
 SEARCH_WORD = "The"
@@ -32,9 +32,8 @@ def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _part_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts on neighbouring lines of an order, as a graph with cycles."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_partkey"
-    )
+    scan = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = spread(scan.select("l_orderkey", "l_linenumber", "l_partkey"))
     following = lines.select(
         "l_orderkey",
         (F.col("l_linenumber") - 1).alias("l_linenumber"),

@@ -13,16 +13,19 @@ from weblode.functions.urls import url_from_path
 BOILERPLATE = ("backblue.gif", "fade.gif", "index.html")
 
 
-def _below(root: str, file_path: Column) -> Column:
-    """Path of a file relative to ``root``. File paths come percent-encoded."""
+def _prefix(root: str) -> str:
+    """Path of the root folder with a slash at both ends."""
     local = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", "", root)
     if not local.startswith("/"):
         raise ValueError(f"root must be an absolute path or a URI: {root}")
-    prefix = "/" + local.strip("/") + "/" if local.strip("/") else "/"
+    return re.sub("/+", "/", f"/{local}/")
+
+
+def _below(prefix: str, file_path: Column) -> Column:
+    """Path of a file relative to the root. File paths come percent-encoded."""
     path = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
     path = F.regexp_replace(path, r"\A[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/")
-    after = F.locate(prefix, path) + len(prefix)
-    return F.substring(path, after, F.length(path))
+    return F.substring(path, F.locate(prefix, path) + len(prefix), F.length(path))
 
 
 def read_crawl(spark: SparkSession, root: str) -> DataFrame:
@@ -32,13 +35,14 @@ def read_crawl(spark: SparkSession, root: str) -> DataFrame:
     read is skipped. Files without a dotted path segment have no URL and are
     dropped.
     """
+    prefix = _prefix(root)
     files = (
         spark.read.option("recursiveFileLookup", True)
         .option("ignoreCorruptFiles", True)
         .option("ignoreMissingFiles", True)
         .text(root, wholetext=True)
         .select(
-            _below(root, F.col("_metadata.file_path")).alias("path"),
+            _below(prefix, F.col("_metadata.file_path")).alias("path"),
             F.make_valid_utf8("value").alias("html"),
         )
     )
