@@ -3,9 +3,17 @@ from collections import Counter
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import MEDIUM
-from weblode.functions.text import has_word, is_store_word
+from weblode.functions.text import (
+    extract_words,
+    has_word,
+    is_store_word,
+    is_word,
+    split_tokens,
+    trim_token,
+)
 from weblode.operators.index import term_counts, words
 from weblode.sources.tables import read_documents
 
@@ -56,6 +64,17 @@ def test_counts_of_all_documents(spark):
     assert got == expected
 
 
+def test_one_pass_equals_token_by_token(spark):
+    ends = ["", " ", "\x01", ".", "\t ", " \n", "-\x02-", "¿"]
+    cores = ["a", "B9", "é", "a:b", "x\ty", "", "don't"]
+    texts = [a + core + b + more for a in ends for core in cores for b in ends for more in cores]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    by_token = F.filter(F.transform(split_tokens(F.col("text")), trim_token), is_word)
+    differ = df.where(by_token != extract_words(F.col("text")))
+    assert differ.collect() == []
+    assert df.where(F.size(by_token) > 1).count() > 100
+
+
 def test_has_word_agrees_with_words(spark, values):
     texts = ["...", "é a", "é", "", "\ta\x01", "a:b", "x-é", "¡a!", "a\tb", TEXT]
     expected = [bool(list(brute_force(text))) for text in texts]

@@ -45,13 +45,19 @@ def resolve_limit(limit: int | float | str | None) -> int | None:
 def resolve_limits(limit: Column) -> Column:
     """The same for a column of numbers or decimal text; null stands for all."""
     text = F.trim(limit.cast("string"))
-    number = F.when(text == "", F.lit(0.0)).when(
+    parsed = F.when(text == "", F.lit(0.0)).when(
         text.rlike(rf"\A{_NUMBER}\z"), text.try_cast("double")
     )
-    error = F.raise_error(F.concat(F.lit("limit must be -1 or not negative: "), text))
-    return (
-        F.when(number.isNull(), F.lit(DEFAULT_LIMIT).cast("bigint"))
-        .when((number == ALL) | (number == math.inf), F.lit(None).cast("bigint"))
-        .when(number > ALL, F.floor(F.greatest(number, F.lit(0.0))))
-        .otherwise(error.cast("bigint"))
-    )
+
+    def whole(number: Column) -> Column:
+        error = F.concat(F.lit("limit must be -1 or not negative: "), number.cast("string"))
+        return (
+            F.when(number.isNull(), F.lit(DEFAULT_LIMIT).cast("bigint"))
+            .when((number == ALL) | (number == math.inf), F.lit(None).cast("bigint"))
+            .when(number > ALL, F.floor(F.greatest(number, F.lit(0.0))))
+            .otherwise(F.raise_error(error).cast("bigint"))
+        )
+
+    # An array of one, so that the text is parsed once however often the
+    # number is used.
+    return F.transform(F.array(parsed), whole)[0]

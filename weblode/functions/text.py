@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,17 +13,24 @@ SEPARATORS = r"[ ,.\-_;]"
 DELETED = "\"'[]()$#?!*¿¡%+"
 TRIMMED = "".join(map(chr, range(0x21)))
 
+_DELETED = "[" + re.escape(DELETED) + "]+"
 _WORD = r"\A[a-zA-Z0-9]+\z"
 _STORE_WORD = r"\A[a-zA-Z0-9][a-zA-Z0-9-]*\z"
-_HAS_WORD = (
-    rf"(?:\A|{SEPARATORS})[\x00-\x20]*[a-zA-Z0-9]+[\x00-\x20]*(?:{SEPARATORS}|\z)"
+# A whole token that is a word after trimming.
+_TOKEN_WORD = (
+    rf"(?<![^{SEPARATORS[1:-1]}])[\x00-\x1f]*+([a-zA-Z0-9]++)"
+    rf"(?=[\x00-\x1f]*+(?:{SEPARATORS}|\z))"
 )
 
 
+def _cleaned(text: Column) -> Column:
+    """No deleted character is a separator, so deleting them from the whole
+    text is the same as deleting them per token."""
+    return F.regexp_replace(text, _DELETED, "")
+
+
 def split_tokens(text: Column) -> Column:
-    """Array of tokens. No deleted character is a separator, so deleting them
-    from the whole text first is the same as deleting them per token."""
-    return F.split(F.translate(text, DELETED, ""), SEPARATORS)
+    return F.split(_cleaned(text), SEPARATORS)
 
 
 def trim_token(token: Column) -> Column:
@@ -33,9 +42,15 @@ def is_word(token: Column) -> Column:
     return token.rlike(_WORD)
 
 
+def extract_words(text: Column) -> Column:
+    """Array of the words among the tokens, as ``split_tokens``, ``trim_token``
+    and ``is_word`` find them, but in one pass over the text."""
+    return F.regexp_extract_all(_cleaned(text), F.lit(_TOKEN_WORD), 1)
+
+
 def has_word(text: Column) -> Column:
-    """Whether ``split_tokens`` yields at least one word; stops at the first."""
-    return F.translate(text, DELETED, "").rlike(_HAS_WORD)
+    """Whether there is any word; stops at the first."""
+    return _cleaned(text).rlike(_TOKEN_WORD)
 
 
 def is_store_word(word: Column) -> Column:

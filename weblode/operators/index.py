@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weblode.functions.html import body_text
-from weblode.functions.text import has_word, is_word, split_tokens, trim_token
+from weblode.functions.text import extract_words, has_word
 from weblode.operators.skew import group_in_slots
 
 # Longest packed list: about 8 MB of text at 80 bytes per entry.
@@ -21,12 +21,14 @@ def page_text(pages: DataFrame) -> DataFrame:
 
 
 def words(documents: DataFrame) -> DataFrame:
-    """One row ``(word, url)`` per occurrence."""
-    token = documents.select("url", F.explode(split_tokens(F.col("text"))).alias("token"))
-    token = token.select("url", trim_token(F.col("token")).alias("token"))
-    return token.where(is_word(F.col("token"))).select(
-        F.lower("token").alias("word"), "url"
-    )
+    """One row ``(word, url)`` per occurrence.
+
+    The outer form of explode, with the filter after it, keeps the optimizer
+    from testing for empty arrays first, which would extract the words twice.
+    """
+    word = F.explode_outer(extract_words(F.col("text"))).alias("word")
+    found = documents.select("url", word).where("word IS NOT NULL")
+    return found.select(F.lower("word").alias("word"), "url")
 
 
 def term_counts(documents: DataFrame) -> DataFrame:
@@ -43,8 +45,8 @@ def inverted_index(pages: DataFrame) -> DataFrame:
 def indexed_urls(pages: DataFrame) -> DataFrame:
     """URLs that own at least one posting, read off the pages: one row per
     page reaches the shuffle instead of one per posting."""
-    with_word = page_text(pages).where(has_word(F.col("text")))
-    return with_word.select("url").distinct()
+    any_word = F.bool_or(has_word(F.col("text"))).alias("any_word")
+    return page_text(pages).groupBy("url").agg(any_word).where("any_word").select("url")
 
 
 def posting_lists(postings: DataFrame, per_list: int = ENTRIES_PER_LIST) -> DataFrame:

@@ -17,8 +17,10 @@ from weblode.operators.skew import group_in_slots
 
 
 def raw_links(pages: DataFrame) -> DataFrame:
-    """``(url, pos, href)``: every body link in document order."""
-    tags = pages.select("url", F.posexplode(anchor_tags(F.col("html"))).alias("pos", "tag"))
+    """``(url, pos, href)``: every body link in document order. (The outer form
+    of explode for the reason given in ``index.words``.)"""
+    tag = F.posexplode_outer(anchor_tags(F.col("html"))).alias("pos", "tag")
+    tags = pages.select("url", tag).where("tag IS NOT NULL")
     return tags.select("url", "pos", anchor_href(F.col("tag")).alias("href"))
 
 

@@ -22,7 +22,14 @@ from weblode.functions.text import is_store_word
 from weblode.functions.urls import bucket_of, website_id
 from weblode.sources.keyed import check_new
 
+# Schemas on disk, stated because an empty bucketed table holds no file.
+SCHEMAS = {
+    "websites": "website_id string, url string, bucket int",
+    "inv_index": "word string, website_id string, count bigint, bucket int",
+    "page_rank": "website_id string, value double, bucket int",
+}
 ROWS_PER_BUCKET = 50_000_000
+MIN_ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 4096
 
 
@@ -86,23 +93,31 @@ def build_store(
     return Store(websites, store_postings(postings, known), store_ranks(ranks, websites))
 
 
-def _buckets(rows: int) -> int:
-    return max(1, min(MAX_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
+def _buckets(df: DataFrame) -> int:
+    """Enough buckets for their size to stay bounded, and for all cores to
+    share the work on a small table."""
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    by_size, by_cores = -(-rows // ROWS_PER_BUCKET), min(cores, rows // MIN_ROWS_PER_BUCKET)
+    return max(1, min(MAX_BUCKETS, max(by_size, by_cores)))
 
 
 def _layout(spark: SparkSession, path: str) -> Row:
     return spark.read.parquet(f"{path}/layout").first()
 
 
-def _write(df: DataFrame, key: str, order: list[str], buckets: int, path: str, mode: str):
+def _read(spark: SparkSession, path: str, table: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{path}/{table}")
+
+
+def _write(df: DataFrame, table: str, order: list[str], buckets: int, path: str, mode: str):
     """Adaptive execution splits a bucket that is too large for one task, such
     as that of a word on every page, and joins small ones."""
     if mode == "append":
-        check_new(df, df.sparkSession.read.parquet(path), order)
-    bucketed = df.withColumn("bucket", bucket_of(F.col(key), buckets))
+        check_new(df, _read(df.sparkSession, path, table), order)
+    bucketed = df.withColumn("bucket", bucket_of(F.col(order[0]), buckets))
     balanced = bucketed.hint("rebalance", F.col("bucket"))
     ordered = balanced.sortWithinPartitions("bucket", *order)
-    ordered.write.mode(mode).partitionBy("bucket").parquet(path)
+    ordered.write.mode(mode).partitionBy("bucket").parquet(f"{path}/{table}")
 
 
 def write_index(
@@ -121,11 +136,10 @@ def write_index(
         word_buckets, id_buckets = _layout(spark, path)
         websites = websites.join(read_websites(spark, path), "website_id", "left_anti")
     else:
-        word_buckets = word_buckets or _buckets(inv_index.count())
-        id_buckets = id_buckets or _buckets(websites.count())
-    index_order = ["word", "website_id"]
-    _write(inv_index, "word", index_order, word_buckets, f"{path}/inv_index", mode)
-    _write(websites, "website_id", ["website_id"], id_buckets, f"{path}/websites", mode)
+        word_buckets = word_buckets or _buckets(inv_index)
+        id_buckets = id_buckets or _buckets(websites)
+    _write(inv_index, "inv_index", ["word", "website_id"], word_buckets, path, mode)
+    _write(websites, "websites", ["website_id"], id_buckets, path, mode)
     if mode != "append":
         layout = spark.range(1).select(
             F.lit(word_buckets).alias("word_buckets"), F.lit(id_buckets).alias("id_buckets")
@@ -136,7 +150,7 @@ def write_index(
 def write_ranks(page_rank: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write ``page_rank`` next to a stored index."""
     buckets = _layout(page_rank.sparkSession, path)["id_buckets"]
-    _write(page_rank, "website_id", ["website_id"], buckets, f"{path}/page_rank", mode)
+    _write(page_rank, "page_rank", ["website_id"], buckets, path, mode)
 
 
 def write_store(store: Store, path: str, mode: str = "errorifexists") -> None:
@@ -146,9 +160,9 @@ def write_store(store: Store, path: str, mode: str = "errorifexists") -> None:
 
 def read_websites(spark: SparkSession, path: str) -> DataFrame:
     """Websites stored before, to keep their ids."""
-    return spark.read.parquet(f"{path}/websites").select("website_id", "url")
+    return _read(spark, path, "websites").select("website_id", "url")
 
 
 def read_store(spark: SparkSession, path: str) -> Store:
-    tables = [spark.read.parquet(f"{path}/{t}") for t in ("websites", "inv_index", "page_rank")]
+    tables = (_read(spark, path, table) for table in SCHEMAS)
     return Store(*tables, *_layout(spark, path))
