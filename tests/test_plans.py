@@ -145,3 +145,59 @@ def test_lookup_reads_one_bucket_and_pushes_the_word_down(spark, tmp_path):
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_dir(spark) != scratch_dir(spark)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import json
+
+    from weblode.__main__ import main
+
+    crawl = tmp_path / "crawl" / "a.org"
+    crawl.mkdir(parents=True)
+    (crawl / "1.html").write_text("<a href='/2'>go</a> word")
+    (crawl / "2.html").write_text("word word")
+    out, store_path = str(tmp_path / "out"), str(tmp_path / "store")
+    main(["run", "--crawl", str(tmp_path / "crawl"), "--out", out, "-i", "1"])
+    main(["load", "--source", out, "--store", store_path, "--inv-index"])
+    main(["load", "--source", out, "--store", store_path, "--page-rank"])
+    capsys.readouterr()
+    main(["search", "--store", store_path, "--word", "WORD", "--limit", "1"])
+    assert json.loads(capsys.readouterr().out) == {
+        "results": [{"url": "a.org/2", "pagerank": pytest.approx(1.0)}]
+    }
+    with pytest.raises(SystemExit):
+        main(["load", "--store", store_path, "--page-rank"])
+
+
+def test_loading_packed_files(spark, tmp_path):
+    from weblode.__main__ import main
+
+    def put(name, line):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part-r-00000").write_text(line)
+        return str(tmp_path / name)
+
+    main([
+        "load", "--store", str(tmp_path / "store"), "--inv-index", "--page-rank",
+        "--packed-postings", put("index", "word\ta.org/1|3|a.org/2|30\nin-ner\ta.org/1|1\n_\tx.org|1\n"),
+        "--packed-ranks", put("ranks", "a.org/1|0.7\ta.org/2|b.org\na.org/2|0.1\t\nb.org|0.3\t\n"),
+    ])
+    store = read_store(spark, str(tmp_path / "store"))
+    assert rows(search.search(store, "word")) == [("a.org/1", 0.7), ("a.org/2", 0.1)]
+    assert rows(search.search(store, "IN-NER")) == [("a.org/1", 0.7)]
+    assert store.page_rank.count() == 2
+    assert store.websites.count() == 2
+
+
+def test_top_pages_open_only_their_website_buckets(spark, tmp_path):
+    path = str(tmp_path / "store")
+    urls = spark.range(400).select(F.concat(F.lit("u"), "id").alias("url"))
+    postings = urls.select(F.lit("word").alias("word"), "url", F.lit(1).alias("count"))
+    from weblode.plans.store import write_index, write_ranks
+
+    write_index(website_ids(urls), store_postings(postings), path, id_buckets=8)
+    write_ranks(spark.createDataFrame([], "website_id string, value double"), path)
+    found = search.search(read_store(spark, path), "word", 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan, plan
+    assert len(found.collect()) == 2
