@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from weblode.plans import pipeline, search
-from weblode.plans.store import build_store, read_store, store_postings, website_ids
+from weblode.plans.store import (
+    build_store,
+    read_store,
+    store_postings,
+    website_ids,
+    write_index,
+    write_ranks,
+    write_store,
+)
 from weblode.scratch import scratch_dir
 from weblode.sources.keyed import KeyCollision
 
@@ -117,6 +125,21 @@ def test_known_websites_keep_their_ids(spark, postings, ranks):
     assert rows(store.page_rank) == [("Xy9", 0.5)]
 
 
+def test_appending_to_a_store_with_ids_of_its_own(spark, postings, ranks, tmp_path):
+    path = str(tmp_path / "store")
+    known = spark.createDataFrame([("Xy9", "a.org/1")], "website_id string, url string")
+    write_store(build_store(postings, ranks, known=known), path)
+    more = spark.createDataFrame(
+        [("new", "a.org/1", 4), ("new", "a.org/2", 9)], "word string, url string, count long"
+    )
+    pipeline.load(path, more, mode="append")
+    store = read_store(spark, path)
+    found = rows(store.inv_index.where("word = 'new'").select("website_id", "count"))
+    assert found == sorted([("Xy9", 4), (page_id("a.org/2"), 9)])
+    assert store.websites.count() == 2
+    assert rows(search.search(store, "new")) == sorted([("a.org/1", 0.5), ("a.org/2", None)])
+
+
 def test_computed_ids_need_no_join(postings):
     plan = store_postings(postings)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
@@ -125,7 +148,6 @@ def test_computed_ids_need_no_join(postings):
 
 def test_lookup_reads_one_bucket_and_pushes_the_word_down(spark, tmp_path):
     from weblode.operators.index import inverted_index
-    from weblode.plans.store import write_index, write_ranks
     from weblode.sources.tables import read_pages
 
     path = str(tmp_path / "store")
@@ -193,8 +215,6 @@ def test_top_pages_open_only_their_website_buckets(spark, tmp_path):
     path = str(tmp_path / "store")
     urls = spark.range(400).select(F.concat(F.lit("u"), "id").alias("url"))
     postings = urls.select(F.lit("word").alias("word"), "url", F.lit(1).alias("count"))
-    from weblode.plans.store import write_index, write_ranks
-
     write_index(website_ids(urls), store_postings(postings), path, id_buckets=8)
     write_ranks(spark.createDataFrame([], "website_id string, value double"), path)
     found = search.search(read_store(spark, path), "word", 2)

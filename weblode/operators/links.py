@@ -17,11 +17,12 @@ from weblode.operators.skew import group_in_slots
 
 
 def raw_links(pages: DataFrame) -> DataFrame:
-    """``(url, pos, href)``: every body link in document order. (The outer form
-    of explode for the reason given in ``index.words``.)"""
-    tag = F.posexplode_outer(anchor_tags(F.col("html"))).alias("pos", "tag")
-    tags = pages.select("url", tag).where("tag IS NOT NULL")
-    return tags.select("url", "pos", anchor_href(F.col("tag")).alias("href"))
+    """``(url, pos, href)``: every body link in document order. Targets are
+    read off inside the array, so that filters on ``href`` do not repeat that.
+    (The outer form of explode for the reason given in ``index.words``.)"""
+    hrefs = F.transform(anchor_tags(F.col("html")), anchor_href)
+    link = F.posexplode_outer(hrefs).alias("pos", "href")
+    return pages.select("url", link).where("href IS NOT NULL")
 
 
 def valid_links(pages: DataFrame) -> DataFrame:

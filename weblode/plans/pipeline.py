@@ -11,6 +11,7 @@ from weblode.operators.links import link_graph
 from weblode.operators.pagerank import ITERATIONS, page_rank
 from weblode.plans.store import (
     indexed_websites,
+    own_ids,
     read_websites,
     store_postings,
     store_ranks,
@@ -81,7 +82,7 @@ def load(
     """
     if postings is not None:
         spark = postings.sparkSession
-        known = read_websites(spark, store_path) if mode == "append" else None
+        known = own_ids(read_websites(spark, store_path)) if mode == "append" else None
         websites = website_ids(indexed_websites(postings) if urls is None else urls, known)
         write_index(websites, store_postings(postings, known), store_path, mode)
     if ranks is not None:

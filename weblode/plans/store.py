@@ -112,9 +112,9 @@ def _read(spark: SparkSession, path: str, table: str) -> DataFrame:
 def _write(df: DataFrame, table: str, order: list[str], buckets: int, path: str, mode: str):
     """Adaptive execution splits a bucket that is too large for one task, such
     as that of a word on every page, and joins small ones."""
-    if mode == "append":
-        check_new(df, _read(df.sparkSession, path, table), order)
     bucketed = df.withColumn("bucket", bucket_of(F.col(order[0]), buckets))
+    if mode == "append":
+        check_new(bucketed, _read(df.sparkSession, path, table), ["bucket", *order])
     balanced = bucketed.hint("rebalance", F.col("bucket"))
     ordered = balanced.sortWithinPartitions("bucket", *order)
     ordered.write.mode(mode).partitionBy("bucket").parquet(f"{path}/{table}")
@@ -163,6 +163,13 @@ def read_websites(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, "websites").select("website_id", "url")
 
 
+def own_ids(websites: DataFrame) -> DataFrame | None:
+    """The websites whose id is not the computed one; ``None`` if there are
+    none, which saves a join of all postings with all websites."""
+    own = websites.where(F.col("website_id") != website_id(F.col("url")))
+    return None if own.isEmpty() else own
+
+
 def read_store(spark: SparkSession, path: str) -> Store:
     tables = (_read(spark, path, table) for table in SCHEMAS)
     return Store(*tables, *_layout(spark, path))

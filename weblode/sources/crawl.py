@@ -31,9 +31,9 @@ def _below(prefix: str, file_path: Column) -> Column:
 def read_crawl(spark: SparkSession, root: str) -> DataFrame:
     """``(url, html)`` from all files below ``root``.
 
-    Bytes are read as UTF-8 whatever the page declares. A file that cannot be
-    read is skipped. Files without a dotted path segment have no URL and are
-    dropped.
+    Bytes are read as UTF-8 whatever the page declares. Corrupt and vanished
+    files are skipped; being denied access still fails the job. Files without
+    a dotted path segment have no URL and are dropped.
     """
     prefix = _prefix(root)
     files = (

@@ -17,8 +17,10 @@ def _check_unique(rows: DataFrame, keys: list[str]) -> None:
 
 
 def check_new(rows: DataFrame, stored: DataFrame, keys: list[str]) -> None:
-    """Fail if a row of ``rows`` has a key that ``stored`` has."""
-    if not rows.join(stored.select(*keys), keys, "left_semi").isEmpty():
+    """Fail if a row of ``rows`` has a key that ``stored`` has. The stored side
+    is the one that is streamed: it is the large one, and stays in place while
+    the new rows are few enough to be broadcast."""
+    if not stored.join(rows.select(*keys), keys, "left_semi").isEmpty():
         raise KeyCollision(f"key ({', '.join(keys)}) is already stored")
 
 
