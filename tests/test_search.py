@@ -121,9 +121,9 @@ def test_search_against_brute_force(random_store):
         assert found(search.search(store, word, limit)) == brute_force(*tables, word, limit)
 
 
-@pytest.mark.parametrize("parts", [256, 2])
-def test_batch_against_brute_force(spark, random_store, monkeypatch, parts):
-    monkeypatch.setattr(search, "RANK_PARTS", parts)
+@pytest.mark.parametrize(("name", "value"), [("RANK_PARTS", 2), ("MAX_BROADCAST_ROWS", 500)])
+def test_batch_against_brute_force(spark, random_store, monkeypatch, name, value):
+    monkeypatch.setattr(search, name, value)
     store, tables = random_store
     asked = [
         ("q1", "Hot", "10"), ("q2", "hot", "3"), ("q3", "hot", "-1"), ("q4", "a", None),
@@ -138,7 +138,35 @@ def test_batch_against_brute_force(spark, random_store, monkeypatch, parts):
         assert sorted(got.get(query_id, []), key=str) == sorted(expected, key=str), query_id
 
 
-def test_many_hits_take_the_other_join(random_store, monkeypatch):
+def test_more_rows_than_are_broadcast(random_store, monkeypatch):
     monkeypatch.setattr(search, "MAX_BROADCAST_ROWS", 3)
     store, tables = random_store
-    assert found(search.search(store, "hot", 5)) == brute_force(*tables, "hot", 5)
+    for limit in (3, 5, 150, 1000):
+        assert found(search.search(store, "hot", limit)) == brute_force(*tables, "hot", limit)
+    lines = [json.loads(line)["url"] for (line,) in found(search.search_json(store, "hot", 5))]
+    assert lines == [url for url, _ in brute_force(*tables, "hot", 5)]
+
+
+def test_row_numbers_of_a_group_that_spans_ranges(spark, request):
+    # Keeps the ranges of this small table from being joined.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    request.addfinalizer(
+        lambda: spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    )
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from weblode.operators.ranking import row_numbers
+
+    values = [("hot" if i % 4 else f"k{i % 12}", i, i % 5 or None) for i in range(1000)]
+    df = spark.createDataFrame(values, "key string, id int, score int")
+    order = [F.col("score").desc_nulls_last(), F.col("id")]
+    ranges = df.repartitionByRange(8, "key", *order).select("key", F.spark_partition_id())
+    assert ranges.where("key = 'hot'").distinct().count() > 3
+    for keys in (["key"], []):
+        expected = df.withColumn(
+            "n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        )
+        columns = ["key", "id", "score", "n"]
+        got = row_numbers(df, keys, order).select(columns)
+        assert sorted(found(got), key=str) == sorted(found(expected.select(columns)), key=str)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from weblode.functions.limits import DEFAULT_LIMIT, resolve_limit, resolve_limits
 from weblode.functions.urls import bucket_of
+from weblode.operators.ranking import row_numbers
 from weblode.plans.store import Store
 
 COUNT_CAP = 20
@@ -20,6 +21,10 @@ MAX_BROADCAST_ROWS = 100_000
 RANK_PARTS = 256
 
 
+def _is_small(n_rows: int | None) -> bool:
+    return n_rows is not None and n_rows <= MAX_BROADCAST_ROWS
+
+
 def capped_count(count: Column) -> Column:
     return F.least(count, F.lit(COUNT_CAP))
 
@@ -66,7 +71,7 @@ def _ranks_of(hits: DataFrame, store: Store) -> DataFrame:
 def _with_url(rows: DataFrame, store: Store, n_rows: int | None) -> DataFrame:
     """Add ``url``; ``n_rows`` is the most rows there can be, if known."""
     keys, websites = ["website_id"], store.websites
-    if n_rows is not None and n_rows <= MAX_BROADCAST_ROWS:
+    if _is_small(n_rows):
         if store.id_buckets:
             keys = ["bucket", "website_id"]
             rows = rows.withColumn("bucket", bucket_of(F.col("website_id"), store.id_buckets))
@@ -87,10 +92,12 @@ def search(
         top = _scored(hits, store.page_rank).limit(0)
     else:
         top = _scored(hits, _ranks_of(hits, store))
-        if n_rows is not None:
+        if n_rows is not None and not _is_small(n_rows):
+            top = row_numbers(top, [], _best_first()).where(F.col("n") <= n_rows).drop("n")
+        elif n_rows is not None:
             top = top.orderBy(*_best_first()).limit(n_rows)
     found = _with_url(top, store, n_rows).orderBy(*_best_first())
-    if n_rows is not None:
+    if _is_small(n_rows):
         found = found.limit(n_rows)
     return found.select("url", "pagerank")
 
@@ -100,13 +107,13 @@ def search_json(
 ) -> DataFrame:
     """Search result as JSON in column ``json``.
 
-    With a limit: one document ``{"results": [{"url": …, "pagerank": …}]}``.
-    Without one the result can be as large as the index, so it comes as one
-    JSON object per row, in order, for ``write.text``.
+    With a limit up to ``MAX_BROADCAST_ROWS``: one document ``{"results":
+    [{"url": …, "pagerank": …}]}``. Otherwise the result can be as large as the
+    index, so it comes as one JSON object per row, in order, for ``write.text``.
     """
     found = search(store, word, limit)
     row = F.struct("url", "pagerank")
-    if resolve_limit(limit) is None:
+    if not _is_small(resolve_limit(limit)):
         return found.select(F.to_json(row).alias("json"))
     position = F.monotonically_increasing_id().alias("position")
     ordered = F.array_sort(F.collect_list(F.struct("position", row.alias("row"))))
@@ -132,8 +139,10 @@ def search_batch(store: Store, queries: DataFrame) -> DataFrame:
 
     Pages of a word are ranked once however many queries ask for it, first in
     ``RANK_PARTS`` parts by a hash of the page and then among the winners, so a
-    word on every page does not end up in one task. Queries for all pages are
-    not ranked at all; ``score``, then the website id order the rows.
+    word on every page does not end up in one task. If a query asks for so many
+    pages that this would not cut enough, pages are numbered range by range.
+    Queries for all pages are not ranked at all; ``score``, then the website id
+    order the rows.
     """
     asked = queries.select(
         "query_id", F.lower("word").alias("word"), resolve_limits(F.col("limit")).alias("k")
@@ -141,13 +150,16 @@ def search_batch(store: Store, queries: DataFrame) -> DataFrame:
 
     limited = asked.where("k > 0")
     most = limited.groupBy("word").agg(F.max("k").alias("most"))
-    part = F.pmod(F.xxhash64("website_id"), F.lit(RANK_PARTS)).alias("part")
-    candidates = _word_candidates(store, most).select("*", part)
-    in_part = Window.partitionBy("word", "part").orderBy(*_best_first())
-    in_word = Window.partitionBy("word").orderBy(*_best_first())
-    winners = candidates.withColumn("n", F.row_number().over(in_part)).where("n <= most")
-    winners = winners.withColumn("n", F.row_number().over(in_word)).where("n <= most")
-    top = winners.drop("most").join(limited, "word").where("n <= k")
+    candidates = _word_candidates(store, most)
+    if _is_small(limited.agg(F.coalesce(F.max("k"), F.lit(0))).first()[0]):
+        part = F.pmod(F.xxhash64("website_id"), F.lit(RANK_PARTS)).alias("part")
+        in_part = Window.partitionBy("word", "part").orderBy(*_best_first())
+        in_word = Window.partitionBy("word").orderBy(*_best_first())
+        winners = candidates.select("*", part).withColumn("n", F.row_number().over(in_part))
+        winners = winners.where("n <= most").withColumn("n", F.row_number().over(in_word))
+    else:
+        winners = row_numbers(candidates, ["word"], _best_first())
+    top = winners.where("n <= most").drop("most").join(limited, "word").where("n <= k")
 
     unlimited = asked.where("k IS NULL").select("query_id", "word")
     everything = _word_candidates(store, unlimited)
