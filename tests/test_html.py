@@ -1,3 +1,4 @@
+import time
 from html.parser import HTMLParser
 
 import pyarrow.parquet as pq
@@ -11,6 +12,7 @@ from weblode.functions.html import (
     body_text,
     decode_entities,
 )
+from weblode.functions.text import extract_words
 
 TEXTS = {
     "<html><head><title>no</title></head><body class='a>b'>one <b>t</b>wo</body>": "one two",
@@ -53,6 +55,7 @@ LINKS = {
     "<head><a href='no'></head><body><a href='/yes'>": ["/yes"],
     "<a href='?a=1&amp;b&copy=2&#47;x'>": ["?a=1&b&copy=2/x"],
     "<a title='a>b' href=/q/r>": ["/q/r"],
+    "<a href=/yes><a href='/never'": ["/yes"],
     "<a href=\"it's\"><a href='say \"x\"'>": ["it's", 'say "x"'],
 }
 
@@ -79,6 +82,19 @@ def test_long_tags_do_not_exhaust_the_stack(values):
     assert values(lambda h: F.transform(anchor_tags(h), anchor_href), [page]) == [["/y"]]
 
 
+def test_malformed_pages_take_linear_time(values):
+    n = 300_000
+    pages = [
+        "<a " * n, "<!--" * n, "<script>" * n, "<" * n, "&" * n, "</" * n, "<a href='" * n,
+        "<body" * n, "<title>" * n, "<textarea>" * n, "a\x01" * n, "<p a=\"" * n, "&#x" * n,
+    ]
+    start = time.monotonic()
+    values(body_text, pages)
+    values(lambda h: F.transform(anchor_tags(h), anchor_href), pages)
+    values(lambda h: extract_words(body_text(h)), pages)
+    assert time.monotonic() - start < 60
+
+
 class Walk(HTMLParser):
     """The same reading by an independent parser."""
 

@@ -211,6 +211,16 @@ def test_loading_packed_files(spark, tmp_path):
     assert store.websites.count() == 2
 
 
+def test_repeated_keys_in_the_input_are_an_error(spark, postings, ranks, tmp_path):
+    path = str(tmp_path / "store")
+    with pytest.raises(KeyCollision):
+        pipeline.load(path, postings.unionByName(postings), check_keys=True)
+    pipeline.load(path, postings, check_keys=True)
+    with pytest.raises(KeyCollision):
+        pipeline.load(path, ranks=ranks.unionByName(ranks), check_keys=True)
+    pipeline.load(path, ranks=ranks, check_keys=True)
+
+
 def test_top_pages_open_only_their_website_buckets(spark, tmp_path):
     path = str(tmp_path / "store")
     urls = spark.range(400).select(F.concat(F.lit("u"), "id").alias("url"))

@@ -64,7 +64,7 @@ def _load(spark: SparkSession, args: argparse.Namespace) -> None:
         postings = read_packed_postings(spark, args.packed_postings)
     if args.page_rank:
         ranks = read_packed_ranks(spark, args.packed_ranks)
-    pipeline.load(args.store, postings, ranks, mode=args.mode)
+    pipeline.load(args.store, postings, ranks, mode=args.mode, check_keys=True)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

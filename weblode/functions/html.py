@@ -58,7 +58,7 @@ _TEXT_ONLY = (
     r"(?is)<(textarea|title|xmp|iframe|noembed|noframes)" + _NAME_END
     + r".*?(?:</\1" + _NAME_END + r"|\z)"
 )
-_ANCHOR = r"(?i)<a(?=[\s/>])" + _ATTRS + ">"
+_ANCHOR = r"(?i)<a" + _NAME_END + _ATTRS + _TAG_END
 _HREF = (
     r"(?i)\A<a(?:[\s/]++|(?!href[\s=/>])" + _ATTR + r")*+"
     r"""href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
@@ -139,9 +139,11 @@ def body_text(html: Column) -> Column:
 
 
 def anchor_tags(html: Column) -> Column:
-    """Array of the body's ``<a …>`` start tags, in document order."""
+    """Array of the body's ``<a …>`` start tags, in document order. A tag that
+    the page ends in does not count."""
     body = F.regexp_replace(body_html(html), _TEXT_ONLY, "")
-    return F.regexp_extract_all(body, F.lit(_ANCHOR), 0)
+    tags = F.regexp_extract_all(body, F.lit(_ANCHOR), 0)
+    return F.filter(tags, lambda tag: tag.endswith(">"))
 
 
 def anchor_href(tag: Column) -> Column:

@@ -12,6 +12,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values.
 DEFAULT_LIMIT = 10
 ALL = -1
 

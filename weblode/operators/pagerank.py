@@ -21,8 +21,10 @@ from weblode.functions.urls import website_id
 from weblode.operators.skew import assign_slots, slots_needed
 from weblode.scratch import scratch_dir, stage
 
+# Fixed values.
 DAMPING = 0.85
 ITERATIONS = 10
+
 LINKS_PER_SLOT = 1_000_000
 LINKS_PER_PARTITION = 4_000_000
 

@@ -19,6 +19,7 @@ from weblode.plans.store import (
     write_index,
     write_ranks,
 )
+from weblode.sources.keyed import check_unique
 
 JOBS = ("inv-index", "page-rank")
 
@@ -72,22 +73,30 @@ def load(
     ranks: DataFrame | None = None,
     urls: DataFrame | None = None,
     mode: str = "errorifexists",
+    check_keys: bool = False,
 ) -> None:
     """Load ``postings(word, url, count)``, ``ranks(url, rank)`` or both into
     store tables. Ranks go to the websites of the stored index.
 
     ``urls`` are the distinct URLs of the postings, if at hand. Mode
     ``append`` adds to a store: known websites keep their ids, and a posting or
-    rank that is stored already is an error.
+    rank that is stored already is an error. ``check_keys`` makes it an error
+    too if the input holds one twice; what ``run`` writes never does.
     """
     if postings is not None:
         spark = postings.sparkSession
         known = own_ids(read_websites(spark, store_path)) if mode == "append" else None
         websites = website_ids(indexed_websites(postings) if urls is None else urls, known)
-        write_index(websites, store_postings(postings, known), store_path, mode)
+        inv_index = store_postings(postings, known)
+        if check_keys:
+            check_unique(inv_index, ["word", "website_id"])
+        write_index(websites, inv_index, store_path, mode)
     if ranks is not None:
         websites = read_websites(ranks.sparkSession, store_path)
-        write_ranks(store_ranks(ranks, websites), store_path, mode)
+        page_rank_rows = store_ranks(ranks, websites)
+        if check_keys:
+            check_unique(page_rank_rows, ["website_id"])
+        write_ranks(page_rank_rows, store_path, mode)
 
 
 def load_run(

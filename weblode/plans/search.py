@@ -14,6 +14,7 @@ from weblode.functions.urls import bucket_of
 from weblode.operators.ranking import row_numbers
 from weblode.plans.store import Store
 
+# Fixed value.
 COUNT_CAP = 20
 # Largest table of hits or results that is broadcast; 100,000 ids take 8 MB.
 MAX_BROADCAST_ROWS = 100_000

@@ -10,7 +10,8 @@ class KeyCollision(ValueError):
     """A row with the same key is already there."""
 
 
-def _check_unique(rows: DataFrame, keys: list[str]) -> None:
+def check_unique(rows: DataFrame, keys: list[str]) -> None:
+    """Fail if two rows share a key."""
     repeated = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
     if not repeated.isEmpty():
         raise KeyCollision(f"rows share a key ({', '.join(keys)})")
@@ -28,7 +29,7 @@ def create_table(
     rows: DataFrame, path: str, keys: list[str], max_records_per_file: int = 0
 ) -> None:
     """Write a new table; fail if it exists or if two rows share a key."""
-    _check_unique(rows, keys)
+    check_unique(rows, keys)
     rows.write.option("maxRecordsPerFile", max_records_per_file).parquet(path)
 
 
@@ -36,7 +37,7 @@ def append_rows(
     rows: DataFrame, path: str, keys: list[str], max_records_per_file: int = 0
 ) -> None:
     """Add rows to a table; fail before writing if a key is taken."""
-    _check_unique(rows, keys)
+    check_unique(rows, keys)
     check_new(rows, rows.sparkSession.read.parquet(path), keys)
     writer = rows.write.mode("append").option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)
@@ -45,7 +46,7 @@ def append_rows(
 def merge_rows(rows: DataFrame, path: str, keys: list[str], target: str) -> None:
     """Write to ``target`` the table at ``path`` with ``rows`` set in it: a
     known key takes the new values and keeps columns that ``rows`` lacks."""
-    _check_unique(rows, keys)
+    check_unique(rows, keys)
     stored = rows.sparkSession.read.parquet(path)
     kept = stored.join(rows.select(*keys), keys, "left_anti")
     lacking = [c for c in stored.columns if c not in rows.columns]
