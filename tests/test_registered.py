@@ -7,8 +7,8 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SMALL
-
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+from weblode.oracle import ORACLE
+from weblode.registered import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -35,11 +35,15 @@ def test_query(name, spark, duck):
         assert got == canonical(expected.columns, expected.fetchall())
 
 
-def test_only_the_json_form_has_no_twin():
-    assert set(QUERIES) - set(ORACLE) == {"search_json"}
+def test_every_query_has_a_twin():
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_contract_holds_them():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
     df = contract.entry(spark)
-    assert df.columns == ["url", "pagerank"]
+    assert df.columns == ["position", "url", "pagerank"]
     assert df.count() > 0

@@ -13,13 +13,14 @@ LIMITS = {
     "-1": None, "-1.0": None, "Infinity": None,
     "0": 0, "": 0, " ": 0, "-0.5": 0,
     "5": 5, " 5 ": 5, "2.7": 2, "1e2": 100, "+3": 3, ".5": 0,
+    "1e300": None, "1" + "0" * 19: None, "0x1F": 31, "0o17": 15, "0b101": 5, "0x": 10, "0x0": 0,
+    "0x7fffffffffffffff": 2**63 - 1, "0x8000000000000000": None, "0o1" + "0" * 21: None, "0x" + "f" * 40: None,
 }
 
 
 def test_limits(values):
     assert {k: resolve_limit(k) for k in LIMITS} == LIMITS
     assert dict(zip(LIMITS, values(resolve_limits, LIMITS))) == LIMITS
-    assert resolve_limit("0x1F") == 31
     assert [resolve_limit(n) for n in (-1, 0, 7, 2.7, float("nan"), float("inf"))] == [
         None, 0, 7, 2, 10, None,
     ]
@@ -52,7 +53,17 @@ def small(spark):
 
 
 def found(df):
-    return [tuple(row) for row in df.collect()]
+    """Rows without their positions, which have to count from 1."""
+    rows = df.collect()
+    if df.columns[0] == "position":
+        start = 0 if "json" in df.columns else 1
+        assert [row[0] for row in rows] == list(range(start, start + len(rows)))
+        rows = [row[1:] for row in rows]
+    return [tuple(row) for row in rows]
+
+
+def document(df):
+    return json.loads("".join(line for (line,) in found(df)))
 
 
 def test_score_and_order(small):
@@ -68,14 +79,13 @@ def test_score_and_order(small):
 def test_nothing_found(small):
     for word, limit in (("missing", 10), (None, 10), ("ok", 0), ("ok", ""), ("don't", 10)):
         df = search.search(small, word, limit)
-        assert df.columns == ["url", "pagerank"]
+        assert df.columns == ["position", "url", "pagerank"]
         assert found(df) == []
-    assert [json.loads(j) for (j,) in found(search.search_json(small, None))] == [{"results": []}]
+    assert document(search.search_json(small, None)) == {"results": []}
 
 
 def test_json(small):
-    ((document,),) = found(search.search_json(small, "ok"))
-    assert json.loads(document) == {
+    expected = {
         "results": [
             {"url": "u2", "pagerank": 0.15},
             {"url": "u3", "pagerank": 0.15},
@@ -83,8 +93,14 @@ def test_json(small):
             {"url": "u4"},
         ]
     }
-    lines = [json.loads(line) for (line,) in found(search.search_json(small, "ok", -1))]
-    assert lines == json.loads(document)["results"]
+    for limit in (10, -1, 1_000_000):
+        assert document(search.search_json(small, "ok", limit)) == expected
+
+
+def test_a_page_without_a_website_stays(small):
+    store = small._replace(websites=small.websites.where("website_id <> '2'"))
+    assert found(search.search(store, "ok", 2)) == [(None, 0.15), ("u3", 0.15)]
+    assert len(found(search.search(store, "ok", -1))) == 4
 
 
 def brute_force(websites, postings, ranks, word, limit):
@@ -121,30 +137,39 @@ def test_search_against_brute_force(random_store):
         assert found(search.search(store, word, limit)) == brute_force(*tables, word, limit)
 
 
-@pytest.mark.parametrize(("name", "value"), [("RANK_PARTS", 2), ("MAX_BROADCAST_ROWS", 500)])
-def test_batch_against_brute_force(spark, random_store, monkeypatch, name, value):
-    monkeypatch.setattr(search, name, value)
+def test_batch_against_brute_force(spark, random_store):
     store, tables = random_store
     asked = [
         ("q1", "Hot", "10"), ("q2", "hot", "3"), ("q3", "hot", "-1"), ("q4", "a", None),
         ("q5", "b", "0"), ("q6", "zzz", "10"), ("q7", "c", "1000"), ("q8", None, "10"),
+        ("q9", "hot", "0x1F"),
     ]
     queries = spark.createDataFrame(asked, "query_id string, word string, limit string")
     got = {}
-    for query_id, url, rank, score in found(search.search_batch(store, queries)):
-        got.setdefault(query_id, []).append((url, rank))
+    for row in search.search_batch(store, queries).collect():
+        got.setdefault(row["query_id"], []).append((row["position"], row["url"], row["pagerank"]))
     for query_id, word, limit in asked:
         expected = brute_force(*tables, word, resolve_limit(limit) if limit != "-1" else -1) if word else []
-        assert sorted(got.get(query_id, []), key=str) == sorted(expected, key=str), query_id
+        ordered = sorted(got.get(query_id, []))
+        assert [row[1:] for row in ordered] == expected, query_id
+        assert [row[0] for row in ordered] == list(range(1, len(ordered) + 1)), query_id
+
+
+def test_batch_counts(spark, random_store):
+    store, _ = random_store
+    queries = spark.createDataFrame(
+        [("q1", "HOT"), ("q2", "a"), ("q3", "zzz"), ("q4", None)], "query_id string, word string")
+    assert dict(found(search.batch_counts(store, queries))) == {"q1": 400, "q2": 30, "q3": 0, "q4": 0}
 
 
 def test_more_rows_than_are_broadcast(random_store, monkeypatch):
     monkeypatch.setattr(search, "MAX_BROADCAST_ROWS", 3)
+    monkeypatch.setattr(search, "MAX_PICKED_ROWS", 4)
     store, tables = random_store
     for limit in (3, 5, 150, 1000):
         assert found(search.search(store, "hot", limit)) == brute_force(*tables, "hot", limit)
-    lines = [json.loads(line)["url"] for (line,) in found(search.search_json(store, "hot", 5))]
-    assert lines == [url for url, _ in brute_force(*tables, "hot", 5)]
+    pages = document(search.search_json(store, "hot", 5))["results"]
+    assert [page["url"] for page in pages] == [url for url, _ in brute_force(*tables, "hot", 5)]
 
 
 def test_row_numbers_of_a_group_that_spans_ranges(spark, request):

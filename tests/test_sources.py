@@ -6,8 +6,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from weblode.operators.index import indexed_urls, inverted_index, posting_lists
-from weblode.sources import keyed, packed
-from weblode.sources.crawl import read_crawl
+from weblode.sources import keyed, packed, tables
+from weblode.sources.crawl import pack_crawl, read_crawl, skipped_files
 from weblode.sources.tables import read_pages, spread
 from conftest import SMALL
 
@@ -54,8 +54,20 @@ def test_relative_root_is_an_error(spark):
         read_crawl(spark, "crawl")
 
 
+def test_pattern_as_root_is_an_error(spark, crawl):
+    with pytest.raises(ValueError, match="pattern"):
+        read_crawl(spark, str(crawl)[:-3] + "*")
+
+
+def test_packing_by_folders_gives_the_same_pages(spark, crawl, tmp_path):
+    pack_crawl(spark, str(crawl), str(tmp_path / "pages"), folders=1)
+    packed_pages = dict(rows(spark.read.parquet(str(tmp_path / "pages"))))
+    assert packed_pages == dict(rows(read_crawl(spark, str(crawl))))
+
+
 def test_unreadable_file_is_skipped(spark, crawl):
     put(crawl, "b.org/broken.html.gz", gzip.compress(os.urandom(5000))[:3000])
+    assert [f.rsplit("/", 1)[1] for (f,) in rows(skipped_files(spark, str(crawl)))] == ["broken.html.gz"]
     urls = {url for url, _ in rows(read_crawl(spark, str(crawl)))}
     assert "a.org/index" in urls
     assert not any("broken" in url for url in urls)
@@ -65,12 +77,14 @@ def test_index_of_a_crawl(spark, crawl):
     assert ("one", "a.org/index", 1) in rows(inverted_index(read_crawl(spark, str(crawl))))
 
 
-def test_small_scans_are_spread_and_large_ones_left_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
+def test_small_scans_are_spread_and_large_ones_left_alone(spark, monkeypatch):
     scan = spark.read.parquet(f"{SMALL}/pages.parquet")
-    assert spread(scan).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, cores + 1)
-    assert spread(wide) is wide
+    plan = spread(scan)._jdf.queryExecution().optimizedPlan().toString()
+    assert f"Repartition {spark.sparkContext.defaultParallelism}" in plan
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 1)
+    assert spread(scan) is scan
+    made = spark.range(100)
+    assert spread(made) is made
 
 
 @pytest.fixture(scope="module")
@@ -98,7 +112,10 @@ def test_long_posting_lists_are_split(spark, postings):
     lists = posting_lists(postings, per_list=5)
     longest = postings.groupBy("word").count().orderBy(F.desc("count")).first()
     assert longest["count"] > 15
-    assert lists.where(F.col("word") == longest["word"]).count() > 1
+    split = lists.where(F.col("word") == longest["word"])
+    parts = {row["part"] for row in split.collect()}
+    assert len(parts) == split.count() > 1
+    assert {row["parts"] for row in split.collect()} == {-(-longest["count"] // 5)} and max(parts) < -(-longest["count"] // 5)
     sizes = lists.select(F.size(F.split("postings", r"\|")) / 2)
     assert sum(size for (size,) in sizes.collect()) == postings.count()
 

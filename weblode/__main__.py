@@ -1,5 +1,6 @@
 """Command line: ``spark-submit``-able or ``python -m weblode``.
 
+    pack    turn a folder of crawled files into a table of pages
     run     index and rank a crawl
     load    load the results, or packed text files, into a store
     search  look up one word and print JSON
@@ -16,7 +17,8 @@ from weblode.operators.pagerank import ITERATIONS
 from weblode.plans import pipeline
 from weblode.plans.search import search_json
 from weblode.plans.store import read_store
-from weblode.sources.crawl import read_crawl
+from weblode.functions.limits import resolve_limit
+from weblode.sources.crawl import pack_crawl, read_crawl
 from weblode.sources.packed import read_packed_postings, read_packed_ranks
 from weblode.sources.tables import read_pages
 
@@ -25,6 +27,10 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="weblode", description=__doc__.splitlines()[0])
     commands = parser.add_subparsers(dest="command", required=True)
 
+    pack = commands.add_parser("pack", help="turn a folder of crawled files into a table")
+    pack.add_argument("--crawl", required=True)
+    pack.add_argument("--out", required=True)
+
     run = commands.add_parser("run", help="index and rank a crawl")
     pages = run.add_mutually_exclusive_group(required=True)
     pages.add_argument("--crawl", help="folder of crawled files")
@@ -75,8 +81,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
             parser.error("--inv-index needs --source or --packed-postings")
         if args.page_rank and not args.packed_ranks:
             parser.error("--page-rank needs --source or --packed-ranks")
+    if args.command == "search" and resolve_limit(args.limit) is None and not args.out:
+        parser.error("a search for all pages needs --out")
     spark = SparkSession.builder.appName("weblode").getOrCreate()
-    if args.command == "run":
+    if args.command == "pack":
+        pack_crawl(spark, args.crawl, args.out)
+    elif args.command == "run":
         pages = read_crawl(spark, args.crawl) if args.crawl else read_pages(spark, args.pages)
         pipeline.run(pages, args.out, args.iterations, args.filter, args.force)
     elif args.command == "load":
@@ -84,7 +94,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     else:
         found = search_json(read_store(spark, args.store), args.word, args.limit)
         if args.out:
-            found.write.text(args.out)
+            found.select("json").write.text(args.out)
         else:
             for row in found.toLocalIterator():
                 print(row["json"])

@@ -128,9 +128,14 @@ def body_html(html: Column) -> Column:
 
 
 def body_text(html: Column) -> Column:
-    """Visible text of the body: block tags separate words, inline tags do
-    not, and white space collapses to single spaces."""
-    text = F.regexp_replace(body_html(html), _BLOCK, " ")
+    """Visible text of the body of a page."""
+    return text_of(body_html(html))
+
+
+def text_of(body: Column) -> Column:
+    """Text of ``body_html``: block tags separate words, inline tags do not,
+    and white space collapses to single spaces."""
+    text = F.regexp_replace(body, _BLOCK, " ")
     text = F.regexp_replace(text, _MARKUP, "")
     text = decode_entities(text)
     for invisible in (_ZERO_WIDTH_SPACE, _SOFT_HYPHEN):
@@ -138,11 +143,19 @@ def body_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(text, _SPACE, " "))
 
 
+def body_links(body: Column) -> Column:
+    """Array of the targets of all links of ``body_html``, in order."""
+    return F.transform(_anchors(body), anchor_href)
+
+
 def anchor_tags(html: Column) -> Column:
     """Array of the body's ``<a …>`` start tags, in document order. A tag that
     the page ends in does not count."""
-    body = F.regexp_replace(body_html(html), _TEXT_ONLY, "")
-    tags = F.regexp_extract_all(body, F.lit(_ANCHOR), 0)
+    return _anchors(body_html(html))
+
+
+def _anchors(body: Column) -> Column:
+    tags = F.regexp_extract_all(F.regexp_replace(body, _TEXT_ONLY, ""), F.lit(_ANCHOR), 0)
     return F.filter(tags, lambda tag: tag.endswith(">"))
 
 

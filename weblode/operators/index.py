@@ -8,16 +8,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weblode.functions.html import body_text
+from weblode.functions.html import body_html, body_links, text_of
 from weblode.functions.text import extract_words, has_word
-from weblode.operators.skew import group_in_slots
+from weblode.operators.skew import group_in_parts
 
 # Longest packed list: about 8 MB of text at 80 bytes per entry.
 ENTRIES_PER_LIST = 100_000
 
 
+def parsed(pages: DataFrame) -> DataFrame:
+    """Pages ``(url, html)`` as ``(url, text, hrefs)``: the body is cut out of
+    a page once for both. Parsed pages are returned as they are, so what takes
+    pages also takes a stored table of parsed ones."""
+    if "html" not in pages.columns:
+        return pages
+    bodies = pages.select("url", body_html(F.col("html")).alias("body"))
+    return bodies.select(
+        "url", text_of(F.col("body")).alias("text"), body_links(F.col("body")).alias("hrefs")
+    )
+
+
 def page_text(pages: DataFrame) -> DataFrame:
-    return pages.select("url", body_text(F.col("html")).alias("text"))
+    return parsed(pages).select("url", "text")
 
 
 def words(documents: DataFrame) -> DataFrame:
@@ -50,14 +62,16 @@ def indexed_urls(pages: DataFrame) -> DataFrame:
 
 
 def posting_lists(postings: DataFrame, per_list: int = ENTRIES_PER_LIST) -> DataFrame:
-    """``(word, postings)`` with postings packed as ``url|count|url|count…``.
+    """``(word, part, parts, postings)`` with postings packed as
+    ``url|count|url|count…``.
 
-    A word with more than ``per_list`` pages gets several rows, so no list
-    grows with the corpus. ``postings`` is read twice; pass a stored table.
+    A word with more than ``per_list`` pages gets several rows, numbered by
+    ``part`` from 0 to ``parts - 1``, so no list grows with the corpus.
+    ``postings`` is read twice; pass a stored table.
     """
     entries = F.array_sort(F.collect_list(F.struct("url", "count")))
     packed = F.transform(
         entries, lambda e: F.concat_ws("|", e["url"], e["count"].cast("string"))
     )
-    lists = group_in_slots(postings, "word", "url", per_list)
-    return lists.agg(F.array_join(packed, "|").alias("postings")).select("word", "postings")
+    lists = group_in_parts(postings, "word", "url", per_list)
+    return lists.agg(F.array_join(packed, "|").alias("postings"))

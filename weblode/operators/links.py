@@ -5,24 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weblode.functions.html import anchor_href, anchor_tags
 from weblode.functions.urls import (
     domain_of,
     is_valid_ref,
     normalize_link,
     strip_html_ext,
 )
-from weblode.operators.index import ENTRIES_PER_LIST
-from weblode.operators.skew import group_in_slots
+from weblode.operators.index import ENTRIES_PER_LIST, parsed
+from weblode.operators.skew import group_in_parts
 
 
 def raw_links(pages: DataFrame) -> DataFrame:
     """``(url, pos, href)``: every body link in document order. Targets are
     read off inside the array, so that filters on ``href`` do not repeat that.
     (The outer form of explode for the reason given in ``index.words``.)"""
-    hrefs = F.transform(anchor_tags(F.col("html")), anchor_href)
-    link = F.posexplode_outer(hrefs).alias("pos", "href")
-    return pages.select("url", link).where("href IS NOT NULL")
+    link = F.posexplode_outer("hrefs").alias("pos", "href")
+    return parsed(pages).select("url", link).where("href IS NOT NULL")
 
 
 def valid_links(pages: DataFrame) -> DataFrame:
@@ -48,9 +46,9 @@ def out_degrees(edges: DataFrame) -> DataFrame:
 
 
 def adjacency_lists(edges: DataFrame, per_list: int = ENTRIES_PER_LIST) -> DataFrame:
-    """``(src, links)`` with links packed as ``url|url…``; a source with more
-    than ``per_list`` links gets several rows. ``edges`` is read twice; pass a
-    stored table."""
+    """``(src, part, parts, links)`` with links packed as ``url|url…``; a source
+    with more than ``per_list`` links gets several rows, numbered by ``part``
+    from 0 to ``parts - 1``. ``edges`` is read twice; pass a stored table."""
     links = F.array_join(F.array_sort(F.collect_set("dst")), "|")
-    lists = group_in_slots(edges, "src", "dst", per_list)
-    return lists.agg(links.alias("links")).select("src", "links")
+    lists = group_in_parts(edges, "src", "dst", per_list)
+    return lists.agg(links.alias("links"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from weblode.functions.urls import website_id
 from weblode.operators.skew import assign_slots, slots_needed
-from weblode.scratch import scratch_dir, stage
+from weblode.scratch import remove, scratch_dir, stage
 
 # Fixed values.
 DAMPING = 0.85
@@ -139,17 +139,19 @@ def page_rank(
     if iterations < 0:
         raise ValueError(f"iterations must not be negative: {iterations}")
     spark = edges.sparkSession
-    nodes = stage(rank_nodes(edges, initial, links_per_slot))
+    # Nodes, and two states: steps alternate between the last two, one is read
+    # while the other is replaced, so the disk holds two however many steps.
+    places = [scratch_dir(spark) for _ in range(3)]
+    nodes = stage(rank_nodes(edges, initial, links_per_slot), places[0])
     state = nodes.drop("url")
     if iterations:
         links = lay_out(edges, nodes)
-        # Steps alternate between two tables: one is read while the other is
-        # replaced, so the disk holds two states however many steps are run.
-        tables = [scratch_dir(spark), scratch_dir(spark)]
         try:
             for i in range(iterations):
-                state = stage(pagerank_step(links, state, damping), tables[i % 2])
+                state = stage(pagerank_step(links, state, damping), places[1 + i % 2])
         finally:
             links.unpersist()
     ranks = nodes.select("id", "url").join(state.select("id", "rank"), "id")
-    return ranks.where(F.col("rank").isNotNull()).select("url", "rank")
+    ranks = stage(ranks.where(F.col("rank").isNotNull()).select("url", "rank"))
+    remove(spark, *places)
+    return ranks

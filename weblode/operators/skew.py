@@ -45,11 +45,18 @@ def assign_slots(
     )
 
 
-def group_in_slots(
-    df: DataFrame, key: str, spread_by: str, rows_per_slot: int
+def group_in_parts(
+    df: DataFrame, key: str, spread_by: str, rows_per_part: int
 ) -> GroupedData:
-    """``df`` grouped by key, heavy keys in several groups each. Reads ``df``
-    twice."""
-    heavy = heavy_keys(df, key, rows_per_slot)
-    slotted = assign_slots(df, key, spread_by, heavy, heavy.count())
-    return slotted.groupBy(key, *(["slot"] if "slot" in slotted.columns else []))
+    """``df`` grouped by key, ``part`` (from 0) and ``parts``. A key with more
+    than ``rows_per_part`` rows has several parts, all others have one. Rows go
+    to parts by a hash of ``spread_by``. Reads ``df`` twice."""
+    heavy = heavy_keys(df, key, rows_per_part)
+    n_heavy = heavy.count()
+    if n_heavy <= MAX_BROADCAST_KEYS:
+        heavy = F.broadcast(heavy)
+    hashed = F.conv(F.substring(F.md5(spread_by), 1, 8), 16, 10).cast("bigint")
+    parts = F.coalesce("slots", F.lit(1))
+    placed = df.join(heavy, key, "left") if n_heavy else df.withColumn("slots", F.lit(1))
+    placed = placed.withColumns({"parts": parts, "part": F.pmod(hashed, parts).cast("int")})
+    return placed.groupBy(key, "part", "parts")

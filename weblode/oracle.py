@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weblode.registered import SEARCH_WORD, STEPS
+from weblode.registered import SEARCH_WORD, SHORT_LIST, STEPS
 
 _BLOCK = (
     "address|article|aside|audio|blockquote|body|br|canvas|caption|center|col|colgroup|"
@@ -129,16 +129,16 @@ def _search(limit: int | None) -> str:
     cut = "" if limit is None else f"limit {limit}"
     return _over(
         _INDEX + _GRAPH,
-        f"""select url, round(pagerank, 6) as pagerank from (
-                select * from scored where word = lower('{SEARCH_WORD}')
-                order by {_BEST_FIRST} {cut})""",
+        f"""select position, url, round(pagerank, 6) as pagerank from (
+                select *, row_number() over (order by {_BEST_FIRST}) as position
+                from scored where word = lower('{SEARCH_WORD}') order by position {cut})""",
         **_rank_ctes(STEPS),
         scored=_SCORED,
     )
 
 
 _BATCH = f"""
-    select word as query_id, url, round(pagerank, 6) as pagerank, round(score, 6) as score
+    select word as query_id, n as position, url, round(pagerank, 6) as pagerank, round(score, 6) as score
     from (select *, row_number() over (partition by word order by {_BEST_FIRST}) as n,
                  case length(word) % 4 when 0 then 10 when 1 then 3 when 2 then 0 else -1 end as k
           from scored)
@@ -154,6 +154,41 @@ _DANGLING_RANKS = _with(
     },
     _ROUNDED_RANKS,
 )
+_DOCUMENT_COUNTS = {
+    "body_text": "select doc_id::varchar as url, text from documents",
+    **{n: _CTES[n] for n in ("tokens", "words", "term_counts")},
+}
+_LINKED = {
+    "part_edges": _PART_EDGES,
+    "edges": "select * from part_edges",
+    **_rank_ctes(STEPS),
+    "body_text": "select (doc_id * 3)::varchar as url, text from documents",
+    **{n: _CTES[n] for n in ("tokens", "words", "term_counts")},
+    "nine": "select url, round(rank, 9) as rank from ranks",
+    "scored": _SCORED.replace("join ranks r", "join nine r"),
+}
+
+
+def _search_linked(limit: int | None) -> str:
+    cut = "" if limit is None else f"limit {limit}"
+    return _with(
+        _LINKED,
+        f"""select position, url, round(pagerank, 6) as pagerank from (
+                select *, row_number() over (order by {_BEST_FIRST}) as position
+                from scored where word = lower('{SEARCH_WORD}') order by position {cut})""",
+    )
+
+
+def _part_of(column: str, parts: object) -> str:
+    return f"(('0x' || substr(md5({column}), 1, 8))::bigint % ({parts}))"
+
+
+_JSON = f"""
+    select 0::bigint as position, '{{"results":[' as json
+    union all select position, case when position > 1 then ',' else '' end || '{{"url":"' || url || '"'
+        || coalesce(',"pagerank":' || pagerank, '') || '}}' from found
+    union all select count(*) + 1, ']}}' from found
+"""
 _TERM_COUNT_ROWS = _over(_INDEX, "select * from term_counts")
 _EDGE_ROWS = _over(_GRAPH, "select * from edges")
 _ONE_STEP = _over(_GRAPH, _ROUNDED_RANKS, **_rank_ctes(1))
@@ -166,18 +201,38 @@ ORACLE = {
     ),
     "words": _over(("body_text", "tokens", "words"), "select * from words"),
     "term_counts": _TERM_COUNT_ROWS,
-    "term_counts_documents": _with(
-        {
-            "body_text": "select doc_id::varchar as url, text from documents",
-            **{n: _CTES[n] for n in ("tokens", "words", "term_counts")},
-        },
-        "select * from term_counts",
-    ),
+    "term_counts_documents": _with(_DOCUMENT_COUNTS, "select * from term_counts"),
     "posting_lists": _over(
         _INDEX,
-        "select word, string_agg(url || '|' || count, '|' order by url) as postings"
+        "select word, 0::int as part, 1::int as parts,"
+        " string_agg(url || '|' || count, '|' order by url) as postings"
         " from term_counts group by word",
     ),
+    "posting_lists_split": _over(
+        _INDEX,
+        f"""select word, {_part_of("url", "parts")}::int as part, parts,
+                string_agg(url || '|' || count, '|' order by url) as postings
+            from term_counts join (select word, ceil(count(*) / {SHORT_LIST})::int as parts
+                from term_counts group by word) using (word) group by word, part, parts""",
+    ),
+    "path_urls": r"""select page_id, path, replace(regexp_extract(path,
+            '(?s)(?:^|/)([^/]*\.[^/]*(?:/.*)?)$', 1), '.html', '') as url
+        from (select page_id, 'crawl/' || regexp_replace(url, 'https?://', '', 'g') as path from pages)""",
+    "link_rules": _over(
+        ("raw_links",),
+        r"""select url, pos, href, is_valid, starts_with(href, 'http') as is_absolute,
+                case when is_valid then dst end as dst,
+                case when is_valid then replace(dst, '.html', '') end as dst_stripped
+            from (select *, regexp_full_match(href, '(http|/|[a-zA-Z0-9])[^\n\r\x{85}\x{2028}\x{2029}]*') as is_valid,
+                    regexp_replace(case when starts_with(href, 'http') then href
+                        when starts_with(href, '/') then split_part(url, '/', 1) || href
+                        else split_part(url, '/', 1) || '/' || href end,
+                        'http://|https://|\?.*', '', 'g') as dst
+                from (select url, pos, case pos % 8 when 0 then 'http://x.example' || href
+                        when 1 then substr(href, 2) when 2 then href || '?q=1' when 3 then href || '#s'
+                        when 4 then href || '.html' when 5 then 'mailto:a@b.c' when 6 then '../' || href
+                        else '//cdn.example' || href end as href from raw_links))""",
+    ),
     "page_urls": f"select url as address, {_SELF} as url, split_part({_SELF}, '/', 1) as domain"
     " from pages",
     "raw_links": _over(("raw_links",), "select * from raw_links"),
@@ -188,7 +243,8 @@ ORACLE = {
     ),
     "adjacency_lists": _over(
         _GRAPH,
-        "select src, string_agg(dst, '|' order by dst) as links, 1.0::double as rank"
+        "select src, 0::int as part, 1::int as parts,"
+        " string_agg(dst, '|' order by dst) as links, 1.0::double as rank"
         " from edges group by src",
     ),
     "out_degree": _over(_GRAPH, "select src, count(*) as out_degree from edges group by src"),
@@ -208,10 +264,44 @@ ORACLE = {
         " where url in (select url from term_counts)",
         **_rank_ctes(STEPS),
     ),
+    "store_words": _over(
+        _INDEX,
+        f"""select word, {_ID} as website_id, count from (
+                select case length(word) % 3 when 0 then word || '-' || word when 1 then word
+                    else '_' || word end as word, url, count from term_counts)
+            where regexp_full_match(word, '[a-zA-Z0-9][a-zA-Z0-9-]*')""",
+    ),
+    "store_appended": _over(
+        _INDEX,
+        f"""select t.word, t.count, t.url, case when t.url in (
+                select url from term_counts where {_part_of("word", 2)} = 0 and {_part_of("url", 5)} = 0)
+                then 'own-' || t.url else {_ID.replace("url", "t.url")} end as website_id
+            from term_counts t""",
+    ),
+    "store_merged": """
+        select c_custkey, case when c_custkey % 3 = 0 then lower(c_name) else c_name end as c_name, c_nationkey
+        from customer
+        union all select c_custkey + 10000000, c_name, null from customer where c_custkey % 7 = 0""",
     "search_word": _search(10),
     "search_all_limit": _search(None),
     "search_stored": _search(25),
     "search_batch": _over(_INDEX + _GRAPH, _BATCH, **_rank_ctes(STEPS), scored=_SCORED),
+    "search_linked": _search_linked(None),
+    "search_linked_limit": _search_linked(50),
+    "search_batch_linked": _with(_LINKED, _BATCH),
+    "search_batch_counts": _over(
+        _INDEX,
+        """select word as query_id, count(*) as hits from term_counts group by word
+            union all select distinct 'no ' || word, 0 from term_counts""",
+    ),
+    "search_json": _over(
+        _INDEX + _GRAPH,
+        _JSON,
+        **_rank_ctes(STEPS),
+        scored=_SCORED,
+        found=f"""select *, row_number() over (order by {_BEST_FIRST}) as position
+            from scored where word = lower('{SEARCH_WORD}') order by position limit 10""",
+    ),
     "packed_postings_roundtrip": _TERM_COUNT_ROWS,
     "packed_ranks_roundtrip": _ONE_STEP,
     "packed_edges_roundtrip": _EDGE_ROWS,

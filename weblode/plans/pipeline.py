@@ -6,10 +6,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weblode.operators.index import indexed_urls, inverted_index
+from weblode.operators.index import indexed_urls, inverted_index, parsed
 from weblode.operators.links import link_graph
 from weblode.operators.pagerank import ITERATIONS, page_rank
 from weblode.plans.store import (
+    check_append,
+    exists,
     indexed_websites,
     own_ids,
     read_websites,
@@ -19,6 +21,7 @@ from weblode.plans.store import (
     write_index,
     write_ranks,
 )
+from weblode.scratch import remove, scratch_dir, stage
 from weblode.sources.keyed import check_unique
 
 JOBS = ("inv-index", "page-rank")
@@ -28,11 +31,6 @@ class OutputExists(FileExistsError):
     """The output is there already and ``force`` was not given."""
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def run(
     pages: DataFrame,
     out: str,
@@ -43,7 +41,8 @@ def run(
     """Write ``postings``, ``urls``, ``edges`` and ``ranks`` below ``out``.
 
     ``skip`` names jobs to leave out. If an output of a job to be run exists,
-    nothing is run, unless ``force`` replaces it.
+    nothing is run, unless ``force`` replaces it. Every page is read and parsed
+    once, to a scratch table that all jobs read and that is deleted at the end.
     """
     skipped = set(skip)
     if skipped - set(JOBS):
@@ -51,7 +50,7 @@ def run(
     spark = pages.sparkSession
     outputs = {"inv-index": ("postings", "urls"), "page-rank": ("edges", "ranks")}
     jobs = [job for job in JOBS if job not in skipped]
-    taken = [t for j in jobs for t in outputs[j] if _exists(spark, f"{out}/{t}")]
+    taken = [t for j in jobs for t in outputs[j] if exists(spark, f"{out}/{t}")]
     if taken and not force:
         raise OutputExists(f"{', '.join(taken)} in {out}; use force to replace")
 
@@ -59,12 +58,15 @@ def run(
         df.write.mode("overwrite").parquet(f"{out}/{name}")
         return spark.read.parquet(f"{out}/{name}")
 
+    scratch = scratch_dir(spark)
+    pages = stage(parsed(pages), scratch)
     if "inv-index" in jobs:
         save(inverted_index(pages), "postings")
         save(indexed_urls(pages), "urls")
     if "page-rank" in jobs:
         edges = save(link_graph(pages), "edges")
         save(page_rank(edges, iterations), "ranks")
+    remove(spark, scratch)
 
 
 def load(
@@ -83,20 +85,37 @@ def load(
     rank that is stored already is an error. ``check_keys`` makes it an error
     too if the input holds one twice; what ``run`` writes never does.
     """
+    given = postings if postings is not None else ranks
+    if given is None:
+        return
+    spark, inv_index, websites = given.sparkSession, None, None
+    append = mode == "append"
     if postings is not None:
-        spark = postings.sparkSession
-        known = own_ids(read_websites(spark, store_path)) if mode == "append" else None
+        known = own_ids(read_websites(spark, store_path)) if append else None
         websites = website_ids(indexed_websites(postings) if urls is None else urls, known)
         inv_index = store_postings(postings, known)
-        if check_keys:
-            check_unique(inv_index, ["word", "website_id"])
-        write_index(websites, inv_index, store_path, mode)
+    # ranks go to websites that are stored or come along
+    page_rank_rows = None
     if ranks is not None:
-        websites = read_websites(ranks.sparkSession, store_path)
-        page_rank_rows = store_ranks(ranks, websites)
-        if check_keys:
-            check_unique(page_rank_rows, ["website_id"])
-        write_ranks(page_rank_rows, store_path, mode)
+        stored = read_websites(spark, store_path) if append or websites is None else None
+        if stored is None or websites is None:
+            every = websites if stored is None else stored
+        else:
+            every = stored.unionByName(websites.join(stored, "url", "left_anti"))
+        page_rank_rows = store_ranks(ranks, every)
+    # all checks before the first write
+    if check_keys and inv_index is not None:
+        check_unique(inv_index, ["word", "website_id"])
+    if check_keys and page_rank_rows is not None:
+        check_unique(page_rank_rows, ["website_id"])
+    if append:
+        check_append(spark, store_path, inv_index=inv_index, page_rank=page_rank_rows)
+        if page_rank_rows is not None:
+            page_rank_rows = stage(page_rank_rows)  # before the websites change
+    if inv_index is not None:
+        write_index(websites, inv_index, store_path, mode, checked=True)
+    if page_rank_rows is not None:
+        write_ranks(page_rank_rows, store_path, mode, checked=True)
 
 
 def load_run(

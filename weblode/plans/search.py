@@ -2,6 +2,7 @@
 
 Pages of equal score are ordered by website id, as a keyed store returns them.
 That lets the cut to the top rows come before the join that adds their URLs.
+Rows carry their ``position`` from 1, whatever the limit.
 """
 
 from __future__ import annotations
@@ -13,17 +14,15 @@ from weblode.functions.limits import DEFAULT_LIMIT, resolve_limit, resolve_limit
 from weblode.functions.urls import bucket_of
 from weblode.operators.ranking import row_numbers
 from weblode.plans.store import Store
+from weblode.scratch import stage
 
 # Fixed value.
 COUNT_CAP = 20
 # Largest table of hits or results that is broadcast; 100,000 ids take 8 MB.
 MAX_BROADCAST_ROWS = 100_000
-# A word's pages are ranked in this many independent parts before the merge.
-RANK_PARTS = 256
-
-
-def _is_small(n_rows: int | None) -> bool:
-    return n_rows is not None and n_rows <= MAX_BROADCAST_ROWS
+# Up to so many rows are picked by one task from the best of every task;
+# more are numbered range by range. The rows are the same.
+MAX_PICKED_ROWS = 1_000
 
 
 def capped_count(count: Column) -> Column:
@@ -49,122 +48,126 @@ def word_postings(store: Store, word: Column) -> DataFrame:
 
 
 def _scored(hits: DataFrame, page_rank: DataFrame) -> DataFrame:
-    ranked = hits.join(page_rank.select("website_id", "value"), "website_id", "left")
+    keys = ["bucket", "website_id"] if "bucket" in hits.columns else ["website_id"]
+    ranked = hits.join(page_rank.select(*keys, "value"), keys, "left")
     return ranked.select(
-        *[c for c in hits.columns if c != "count"],
+        *[c for c in hits.columns if c not in ("count", "bucket")],
         F.col("value").alias("pagerank"),
         score(F.col("value"), F.col("count")).alias("score"),
     )
 
 
-def _ranks_of(hits: DataFrame, store: Store) -> DataFrame:
-    """The ranks to join. Looking up a word in a stored index is cheap, so its
-    hits are counted, and if they are few the ranks are filtered in place
-    instead of shuffled."""
-    if not store.word_buckets:
-        return store.page_rank
-    few = hits.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    if not few:
-        return store.page_rank
-    return store.page_rank.join(F.broadcast(hits.select("website_id")), "website_id", "left_semi")
+def _placed(rows: DataFrame, store: Store) -> DataFrame:
+    """Rows with the storage bucket of their website, if the store has any, so
+    that joins by website read and join bucket by bucket."""
+    if not store.id_buckets:
+        return rows
+    return rows.withColumn("bucket", bucket_of(F.col("website_id"), store.id_buckets))
+
 
+def _hits(store: Store, word: Column) -> tuple[DataFrame, Store]:
+    """The hits of one word, and the store with ranks cut to them. Looking up a
+    word in a stored index is cheap, so its hits are counted, and if they are
+    few the ranks are filtered in place instead of shuffled."""
+    hits = _placed(word_postings(store, word), store)
+    if not store.word_buckets or hits.count() > MAX_BROADCAST_ROWS:
+        return hits, store
+    keys = [c for c in hits.columns if c != "count"]
+    near = store.page_rank.join(F.broadcast(hits.select(*keys)), keys, "left_semi")
+    return hits, store._replace(page_rank=near)
 
-def _with_url(rows: DataFrame, store: Store, n_rows: int | None) -> DataFrame:
-    """Add ``url``; ``n_rows`` is the most rows there can be, if known."""
-    keys, websites = ["website_id"], store.websites
-    if _is_small(n_rows):
-        if store.id_buckets:
-            keys = ["bucket", "website_id"]
-            rows = rows.withColumn("bucket", bucket_of(F.col("website_id"), store.id_buckets))
-        rows = F.broadcast(rows)
-    return websites.join(rows, keys)
+
+def _with_url(rows: DataFrame, store: Store, few: bool) -> DataFrame:
+    """Add ``url``, null if the website is not stored. The websites of a ``few``
+    rows are filtered in place before the join."""
+    rows = _placed(rows, store)
+    keys, websites = [c for c in ("bucket", "website_id") if c in rows.columns], store.websites
+    if few:
+        websites = websites.join(F.broadcast(rows.select(*keys)), keys, "left_semi")
+    return rows.join(websites, keys, "left")
 
 
 def search(
     store: Store, word: str | None, limit: int | float | str | None = DEFAULT_LIMIT
 ) -> DataFrame:
-    """``(url, pagerank)`` of the best pages for one word, in order."""
+    """``(position, url, pagerank)`` of the best pages for one word, in order."""
     n_rows = resolve_limit(limit)
     if word is None:
         n_rows = 0
-    wanted = F.lower(F.lit(word or ""))
-    hits = word_postings(store, wanted)
-    if n_rows == 0:
-        top = _scored(hits, store.page_rank).limit(0)
+    hits, cut = _hits(store, F.lower(F.lit(word or "")))
+    scored = _scored(hits, cut.page_rank)
+    if n_rows is not None and n_rows <= MAX_PICKED_ROWS:
+        top = scored.orderBy(*_best_first()).limit(n_rows)
+        top = top.withColumn("n", F.row_number().over(Window.orderBy(*_best_first())))
     else:
-        top = _scored(hits, _ranks_of(hits, store))
-        if n_rows is not None and not _is_small(n_rows):
-            top = row_numbers(top, [], _best_first()).where(F.col("n") <= n_rows).drop("n")
-        elif n_rows is not None:
-            top = top.orderBy(*_best_first()).limit(n_rows)
-    found = _with_url(top, store, n_rows).orderBy(*_best_first())
-    if _is_small(n_rows):
-        found = found.limit(n_rows)
-    return found.select("url", "pagerank")
+        top = row_numbers(scored, [], _best_first())
+        if n_rows is not None:
+            top = top.where(F.col("n") <= n_rows)
+    few = n_rows is not None and n_rows <= MAX_BROADCAST_ROWS
+    found = _with_url(top, store, few).orderBy("n")
+    return found.select(F.col("n").cast("bigint").alias("position"), "url", "pagerank")
 
 
 def search_json(
     store: Store, word: str | None, limit: int | float | str | None = DEFAULT_LIMIT
 ) -> DataFrame:
-    """Search result as JSON in column ``json``.
+    """``(position, json)``: lines that, in order, are one JSON document
+    ``{"results": [{"url": …, "pagerank": …}, …]}``, whatever the limit.
 
-    With a limit up to ``MAX_BROADCAST_ROWS``: one document ``{"results":
-    [{"url": …, "pagerank": …}]}``. Otherwise the result can be as large as the
-    index, so it comes as one JSON object per row, in order, for ``write.text``.
+    The first line opens the document, each further one holds a page, the last
+    one closes it, so ``write.text`` of the ``json`` column gives the document
+    however long it is.
     """
-    found = search(store, word, limit)
-    row = F.struct("url", "pagerank")
-    if not _is_small(resolve_limit(limit)):
-        return found.select(F.to_json(row).alias("json"))
-    position = F.monotonically_increasing_id().alias("position")
-    ordered = F.array_sort(F.collect_list(F.struct("position", row.alias("row"))))
-    results = F.transform(ordered, lambda r: r["row"]).alias("results")
-    document = found.select(position, "url", "pagerank").agg(results)
-    return document.select(F.to_json(F.struct("results")).alias("json"))
-
-
-def _word_candidates(store: Store, words: DataFrame) -> DataFrame:
-    """Scored pages of ``words(word, …)``. Neither side is forced to be
-    broadcast: a frequent word is split by adaptive execution."""
-    index, keys = store.inv_index, ["word"]
-    if store.word_buckets:
-        keys = ["bucket", "word"]
-        words = words.withColumn("bucket", bucket_of(F.col("word"), store.word_buckets))
-    hits = index.join(words, keys).drop("bucket")
-    return _scored(hits, store.page_rank)
+    found = stage(search(store, word, limit))
+    page = F.to_json(F.struct("url", "pagerank"))
+    pages = found.select(
+        "position", F.when(F.col("position") == 1, page).otherwise(F.concat(F.lit(","), page)).alias("json")
+    )
+    line = lambda position, text: (position.cast("bigint").alias("position"), F.lit(text).alias("json"))
+    begin = found.sparkSession.range(1).select(*line(F.lit(0), '{"results":['))
+    end = found.agg(F.count("*").alias("n")).select(*line(F.col("n") + 1, "]}"))
+    return begin.unionByName(pages).unionByName(end).orderBy("position")
 
 
 def search_batch(store: Store, queries: DataFrame) -> DataFrame:
-    """``(query_id, url, pagerank, score)`` for ``queries(query_id, word,
-    limit)``.
-
-    Pages of a word are ranked once however many queries ask for it, first in
-    ``RANK_PARTS`` parts by a hash of the page and then among the winners, so a
-    word on every page does not end up in one task. If a query asks for so many
-    pages that this would not cut enough, pages are numbered range by range.
-    Queries for all pages are not ranked at all; ``score``, then the website id
-    order the rows.
+    """``(query_id, position, url, pagerank, score)`` for ``queries(query_id,
+    word, limit)``.
+
+    The index is joined once with the distinct words, and pages of a word are
+    numbered once however many queries ask for it: range by range, so a word
+    on every page does not end up in one task, and with the same numbers for
+    limited queries and for those that ask for all.
     """
-    asked = queries.select(
+    asked = stage(queries.select(
         "query_id", F.lower("word").alias("word"), resolve_limits(F.col("limit")).alias("k")
-    ).where("word IS NOT NULL")
-
-    limited = asked.where("k > 0")
-    most = limited.groupBy("word").agg(F.max("k").alias("most"))
-    candidates = _word_candidates(store, most)
-    if _is_small(limited.agg(F.coalesce(F.max("k"), F.lit(0))).first()[0]):
-        part = F.pmod(F.xxhash64("website_id"), F.lit(RANK_PARTS)).alias("part")
-        in_part = Window.partitionBy("word", "part").orderBy(*_best_first())
-        in_word = Window.partitionBy("word").orderBy(*_best_first())
-        winners = candidates.select("*", part).withColumn("n", F.row_number().over(in_part))
-        winners = winners.where("n <= most").withColumn("n", F.row_number().over(in_word))
-    else:
-        winners = row_numbers(candidates, ["word"], _best_first())
-    top = winners.where("n <= most").drop("most").join(limited, "word").where("n <= k")
+    ).where("word IS NOT NULL AND (k IS NULL OR k > 0)"))
+    words = asked.groupBy("word").agg(
+        F.when(F.count("*") == F.count("k"), F.max("k")).alias("most")
+    )
+    index, keys = store.inv_index, ["word"]
+    if store.word_buckets:
+        keys = ["bucket", "word"]
+        words = words.withColumn("bucket", bucket_of(F.col("word"), store.word_buckets))
+    hits = _placed(index.join(words, keys).drop("bucket"), store)
+    numbered = row_numbers(_scored(hits, store.page_rank), ["word"], _best_first())
+    winners = numbered.where("most IS NULL OR n <= most").drop("most")
+    found = winners.join(asked, "word").where("k IS NULL OR n <= k")
+    found = _with_url(found.drop("word", "k"), store, False)
+    return found.select(
+        "query_id", F.col("n").cast("bigint").alias("position"), "url", "pagerank", "score"
+    )
 
-    unlimited = asked.where("k IS NULL").select("query_id", "word")
-    everything = _word_candidates(store, unlimited)
 
-    columns = ["query_id", "website_id", "pagerank", "score"]
-    found = top.select(*columns).unionByName(everything.select(*columns))
-    return _with_url(found, store, None).select("query_id", "url", "pagerank", "score")
+def batch_counts(store: Store, queries: DataFrame) -> DataFrame:
+    """``(query_id, hits)`` for ``queries(query_id, word)``: how many pages hold
+    the word, 0 for an unknown or missing one."""
+    asked = queries.select("query_id", F.lower("word").alias("word"))
+    index, keys = store.inv_index, ["word"]
+    words = asked.where("word IS NOT NULL").select("word").distinct()
+    if store.word_buckets:
+        keys = ["bucket", "word"]
+        words = words.withColumn("bucket", bucket_of(F.col("word"), store.word_buckets))
+    counts = index.join(words, keys).groupBy("word").agg(F.count("*").alias("hits"))
+    return asked.join(counts, "word", "left").select(
+        "query_id", F.coalesce("hits", F.lit(0)).alias("hits")
+    )

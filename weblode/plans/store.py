@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from weblode.functions.text import is_store_word
 from weblode.functions.urls import bucket_of, website_id
-from weblode.sources.keyed import check_new
+from weblode.scratch import stage
+from weblode.sources.keyed import append_rows, check_new, create_table
 
 # Schemas on disk, stated because an empty bucketed table holds no file.
 SCHEMAS = {
@@ -28,9 +29,17 @@ SCHEMAS = {
     "inv_index": "word string, website_id string, count bigint, bucket int",
     "page_rank": "website_id string, value double, bucket int",
 }
+# The columns of each table that name a row; the first one gives the bucket.
+KEYS = {
+    "websites": ["website_id"],
+    "inv_index": ["word", "website_id"],
+    "page_rank": ["website_id"],
+}
 ROWS_PER_BUCKET = 50_000_000
 MIN_ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 4096
+# Rows of one file, so that no task writes, and no lookup opens, a huge one.
+MAX_RECORDS_PER_FILE = 10_000_000
 
 
 class Store(NamedTuple):
@@ -109,15 +118,31 @@ def _read(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).parquet(f"{path}/{table}")
 
 
-def _write(df: DataFrame, table: str, order: list[str], buckets: int, path: str, mode: str):
+def _bucketed(df: DataFrame, table: str, buckets: int) -> DataFrame:
+    return df.withColumn("bucket", bucket_of(F.col(KEYS[table][0]), buckets))
+
+
+def _write(df: DataFrame, table: str, buckets: int, path: str, mode: str) -> None:
     """Adaptive execution splits a bucket that is too large for one task, such
     as that of a word on every page, and joins small ones."""
-    bucketed = df.withColumn("bucket", bucket_of(F.col(order[0]), buckets))
-    if mode == "append":
-        check_new(bucketed, _read(df.sparkSession, path, table), ["bucket", *order])
-    balanced = bucketed.hint("rebalance", F.col("bucket"))
-    ordered = balanced.sortWithinPartitions("bucket", *order)
-    ordered.write.mode(mode).partitionBy("bucket").parquet(f"{path}/{table}")
+    keys = ["bucket", *KEYS[table]]
+    balanced = _bucketed(df, table, buckets).hint("rebalance", F.col("bucket"))
+    ordered = balanced.sortWithinPartitions(*keys)
+    write = append_rows if mode == "append" else create_table
+    write(
+        ordered, f"{path}/{table}", keys, MAX_RECORDS_PER_FILE,
+        partition_by=["bucket"], mode=mode, checked=True,
+    )
+
+
+def check_append(spark: SparkSession, path: str, **tables: DataFrame | None) -> None:
+    """Fail if a row of ``inv_index`` or ``page_rank`` has a key that is stored
+    already. Nothing is written before all checks have passed."""
+    layout = _layout(spark, path)
+    for table, rows in tables.items():
+        if rows is not None and (table != "page_rank" or has_ranks(spark, path)):
+            buckets = layout["word_buckets" if table == "inv_index" else "id_buckets"]
+            check_new(_bucketed(rows, table, buckets), _read(spark, path, table), ["bucket", *KEYS[table]])
 
 
 def write_index(
@@ -127,19 +152,25 @@ def write_index(
     mode: str = "errorifexists",
     word_buckets: int | None = None,
     id_buckets: int | None = None,
+    checked: bool = False,
 ) -> None:
-    """Write ``websites`` and ``inv_index``. Mode ``append`` adds to a stored
-    index and fails if it has one of the postings already; websites that are
-    stored already are left as they are."""
+    """Write ``websites``, then ``inv_index``: a posting never lacks its
+    website, and a load that broke off in between can be repeated. Mode
+    ``append`` adds to a stored index and fails, before it writes, if that has
+    one of the postings already (``checked``: the caller has seen to it);
+    websites that are stored already are left as they are."""
     spark = inv_index.sparkSession
     if mode == "append":
         word_buckets, id_buckets = _layout(spark, path)
-        websites = websites.join(read_websites(spark, path), "website_id", "left_anti")
+        if not checked:
+            check_append(spark, path, inv_index=inv_index)
+        # found out before the table they are compared with grows
+        websites = stage(websites.join(read_websites(spark, path), "website_id", "left_anti"))
     else:
         word_buckets = word_buckets or _buckets(inv_index)
         id_buckets = id_buckets or _buckets(websites)
-    _write(inv_index, "inv_index", ["word", "website_id"], word_buckets, path, mode)
-    _write(websites, "websites", ["website_id"], id_buckets, path, mode)
+    _write(websites, "websites", id_buckets, path, mode)
+    _write(inv_index, "inv_index", word_buckets, path, mode)
     if mode != "append":
         layout = spark.range(1).select(
             F.lit(word_buckets).alias("word_buckets"), F.lit(id_buckets).alias("id_buckets")
@@ -147,10 +178,14 @@ def write_index(
         layout.write.mode(mode).parquet(f"{path}/layout")
 
 
-def write_ranks(page_rank: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_ranks(
+    page_rank: DataFrame, path: str, mode: str = "errorifexists", checked: bool = False
+) -> None:
     """Write ``page_rank`` next to a stored index."""
-    buckets = _layout(page_rank.sparkSession, path)["id_buckets"]
-    _write(page_rank, "page_rank", ["website_id"], buckets, path, mode)
+    spark = page_rank.sparkSession
+    if mode == "append" and not checked:
+        check_append(spark, path, page_rank=page_rank)
+    _write(page_rank, "page_rank", _layout(spark, path)["id_buckets"], path, mode)
 
 
 def write_store(store: Store, path: str, mode: str = "errorifexists") -> None:
@@ -170,6 +205,21 @@ def own_ids(websites: DataFrame) -> DataFrame | None:
     return None if own.isEmpty() else own
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def has_ranks(spark: SparkSession, path: str) -> bool:
+    return exists(spark, f"{path}/page_rank")
+
+
 def read_store(spark: SparkSession, path: str) -> Store:
-    tables = (_read(spark, path, table) for table in SCHEMAS)
+    """The stored tables; without ranks, as long as none are loaded, the table
+    of ranks is empty and every page comes without one."""
+    ranks = (
+        _read(spark, path, "page_rank") if has_ranks(spark, path)
+        else spark.createDataFrame([], SCHEMAS["page_rank"])
+    )
+    tables = (_read(spark, path, "websites"), _read(spark, path, "inv_index"), ranks)
     return Store(*tables, *_layout(spark, path))

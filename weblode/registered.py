@@ -6,15 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weblode.functions.text import split_tokens, trim_token
-from weblode.functions.urls import domain_of, is_absolute, self_url
+from weblode.functions.urls import (
+    domain_of,
+    is_absolute,
+    is_valid_ref,
+    normalize_link,
+    self_url,
+    strip_html_ext,
+    url_from_path,
+)
 from weblode.operators import index, links
 from weblode.operators.pagerank import page_rank
 from weblode.plans import pipeline, search, store
 from weblode.scratch import scratch_dir, stage
-from weblode.sources import packed
+from weblode.sources import keyed, packed
 from weblode.sources.tables import read_documents, read_pages, spread
 
 STEPS = 10
+SHORT_LIST = 5
 SEARCH_WORD = "The"
 
 
@@ -58,8 +67,13 @@ def _ranks(edges: DataFrame, iterations: int = STEPS) -> DataFrame:
     return page_rank(stage(edges), iterations)
 
 
+def _part_of(column: str, parts: int):
+    """A number below ``parts`` from a hash that SQL has too."""
+    return F.conv(F.substring(F.md5(column), 1, 8), 16, 10).cast("bigint") % parts
+
+
 def _store(spark: SparkSession, sf_dir: str) -> store.Store:
-    pages = _pages(spark, sf_dir)
+    pages = stage(index.parsed(_pages(spark, sf_dir)))
     postings, ranks = index.inverted_index(pages), _ranks(links.link_graph(pages))
     return store.build_store(postings, ranks, index.indexed_urls(pages))
 
@@ -72,6 +86,17 @@ def _stored(spark: SparkSession, sf_dir: str) -> store.Store:
     return store.read_store(spark, f"{out}/store")
 
 
+def _linked(spark: SparkSession, sf_dir: str) -> store.Store:
+    """Documents under every third number as URL, ranked as the parts of these
+    numbers: ranks differ, and numbers past the last part have none."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    numbered = spread(documents).select((F.col("doc_id") * 3).cast("string").alias("url"), "text")
+    ranks = _ranks(_part_graph(spark, sf_dir)).withColumn("rank", F.round("rank", 9))
+    path = scratch_dir(spark)
+    pipeline.load(path, stage(index.term_counts(numbered)), ranks)
+    return store.read_store(spark, path)
+
+
 def body_text(spark, sf_dir):
     return index.page_text(_pages(spark, sf_dir))
 
@@ -100,6 +125,11 @@ def posting_lists(spark, sf_dir):
     return index.posting_lists(stage(term_counts(spark, sf_dir)))
 
 
+def posting_lists_split(spark, sf_dir):
+    """Lists of a few entries, so that most words need several."""
+    return index.posting_lists(stage(term_counts(spark, sf_dir)), SHORT_LIST)
+
+
 def page_urls(spark, sf_dir):
     url = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
         F.col("url").alias("address"), self_url(F.col("url")).alias("url")
@@ -116,6 +146,34 @@ def valid_links(spark, sf_dir):
     return valid.withColumn("is_absolute", is_absolute(F.col("href")))
 
 
+def path_urls(spark, sf_dir):
+    """URLs of paths as a crawl would store the pages under."""
+    path = F.concat(F.lit("crawl/"), F.regexp_replace("url", "https?://", ""))
+    paths = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", path.alias("path"))
+    return paths.withColumn("url", url_from_path(F.col("path")))
+
+
+def link_rules(spark, sf_dir):
+    """Links turned into all forms a reference can have, by position."""
+    found, form = links.raw_links(_pages(spark, sf_dir)), F.col("pos") % 8
+    href = F.col("href")
+    forms = (
+        F.concat(F.lit("http://x.example"), href), F.substring(href, F.lit(2), F.length(href)),
+        F.concat(href, F.lit("?q=1")), F.concat(href, F.lit("#s")), F.concat(href, F.lit(".html")),
+        F.lit("mailto:a@b.c"), F.concat(F.lit("../"), href), F.concat(F.lit("//cdn.example"), href),
+    )
+    turned = F.lit(None).cast("string")
+    for k, value in enumerate(forms):
+        turned = F.when(form == k, value).otherwise(turned)
+    found = found.withColumn("href", turned)
+    valid = is_valid_ref(F.col("href"))
+    dst = F.when(valid, normalize_link(domain_of(F.col("url")), F.col("href")))
+    return found.withColumns({
+        "is_valid": valid, "is_absolute": is_absolute(F.col("href")), "dst": dst,
+        "dst_stripped": strip_html_ext(dst),
+    })
+
+
 def edges(spark, sf_dir):
     return _edges(spark, sf_dir)
 
@@ -171,6 +229,41 @@ def store_postings(spark, sf_dir):
     return store.store_postings(term_counts(spark, sf_dir))
 
 
+def store_words(spark, sf_dir):
+    """Words with inner hyphens, which the store takes, and others with a sign
+    that it does not take."""
+    size = F.length("word") % 3
+    word = F.when(size == 0, F.concat("word", F.lit("-"), "word")).when(
+        size == 1, F.col("word")).otherwise(F.concat(F.lit("_"), "word"))
+    return store.store_postings(term_counts(spark, sf_dir).withColumn("word", word))
+
+
+def store_appended(spark, sf_dir):
+    """Half of the words are loaded, with some websites under ids of another
+    store, then the other half is added; all is read back."""
+    postings, path = stage(term_counts(spark, sf_dir)), scratch_dir(spark)
+    half = _part_of("word", 2)
+    first = postings.where(half == 0)
+    known = first.where(_part_of("url", 5) == 0).select(
+        F.concat(F.lit("own-"), "url").alias("website_id"), "url").distinct()
+    no_ranks = spark.createDataFrame([], "url string, rank double")
+    store.write_store(store.build_store(first, no_ranks, known=known), path)
+    pipeline.load(path, postings.where(half == 1), mode="append")
+    tables = store.read_store(spark, path)
+    return tables.inv_index.join(tables.websites.drop("bucket"), "website_id").drop("bucket")
+
+
+def store_merged(spark, sf_dir):
+    """Rows merged into a keyed table: some are new, some renamed."""
+    table, target = scratch_dir(spark), scratch_dir(spark)
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_nationkey")
+    keyed.create_table(customers, table, ["c_custkey"], 10_000)
+    renamed = customers.where("c_custkey % 3 = 0").select("c_custkey", F.lower("c_name").alias("c_name"))
+    new = customers.where("c_custkey % 7 = 0").select((F.col("c_custkey") + 10_000_000).alias("c_custkey"), "c_name")
+    keyed.merge_rows(renamed.unionByName(new), table, ["c_custkey"], target)
+    return spark.read.parquet(target)
+
+
 def store_ranks(spark, sf_dir):
     pages = _pages(spark, sf_dir)
     sites = store.website_ids(index.indexed_urls(pages))
@@ -193,9 +286,12 @@ def search_stored(spark, sf_dir):
 def search_batch(spark, sf_dir):
     """A query for every word of the index, in capitals; how many pages it
     asks for depends on the length of the word."""
-    tables = _stored(spark, sf_dir)
+    return _batch(_stored(spark, sf_dir))
+
+
+def _batch(tables: store.Store) -> DataFrame:
     size = F.length("word") % 4
-    limit = F.when(size == 0, 10).when(size == 1, 3).when(size == 2, 0).otherwise(-1)
+    limit = F.when(size == 0, "0xA").when(size == 1, "3").when(size == 2, "0").otherwise("-1")
     asked = tables.inv_index.select("word").distinct()
     queries = asked.select(
         F.col("word").alias("query_id"), F.upper("word").alias("word"), limit.alias("limit")
@@ -203,6 +299,29 @@ def search_batch(spark, sf_dir):
     return _rounded(search.search_batch(tables, queries), "pagerank", "score")
 
 
+def search_linked(spark, sf_dir):
+    return _rounded(search.search(_linked(spark, sf_dir), SEARCH_WORD, -1), "pagerank")
+
+
+def search_linked_limit(spark, sf_dir):
+    return _rounded(search.search(_linked(spark, sf_dir), SEARCH_WORD, 50), "pagerank")
+
+
+def search_batch_linked(spark, sf_dir):
+    return _batch(_linked(spark, sf_dir))
+
+
+def search_batch_counts(spark, sf_dir):
+    """How many pages hold each word, and words that no page holds."""
+    postings = stage(term_counts(spark, sf_dir))
+    no_ranks = spark.createDataFrame([], "url string, rank double")
+    tables = store.build_store(postings, no_ranks)
+    asked = postings.select("word").distinct()
+    unknown = asked.select(F.concat(F.lit("no "), "word").alias("query_id"), F.concat("word", F.lit("-zz")).alias("word"))
+    queries = asked.select(F.col("word").alias("query_id"), F.upper("word").alias("word")).unionByName(unknown)
+    return search.batch_counts(tables, queries)
+
+
 def search_json(spark, sf_dir):
     return search.search_json(_store(spark, sf_dir), SEARCH_WORD)
 
@@ -234,9 +353,12 @@ QUERIES = {
         term_counts,
         term_counts_documents,
         posting_lists,
+        posting_lists_split,
         page_urls,
         raw_links,
         valid_links,
+        path_urls,
+        link_rules,
         edges,
         edges_strip_ext,
         adjacency_lists,
@@ -250,10 +372,17 @@ QUERIES = {
         websites,
         store_postings,
         store_ranks,
+        store_words,
+        store_appended,
+        store_merged,
         search_word,
         search_all_limit,
         search_stored,
         search_batch,
+        search_linked,
+        search_linked_limit,
+        search_batch_linked,
+        search_batch_counts,
         search_json,
         packed_postings_roundtrip,
         packed_ranks_roundtrip,

@@ -3,33 +3,17 @@ executors that computed them."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_dir() -> str:
-    root = tempfile.mkdtemp(prefix="weblode-")
-    atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return root
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """A new path below the shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local session may go without that setting; it gets a temporary
-    folder that is removed when Python ends.
-    """
+    """A new path below the shared folder named by ``spark.checkpoint.dir``, or
+    below the warehouse, which a cluster shares too, if there is none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_dir()
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{root.rstrip('/')}/weblode-{uuid4().hex}"
 
 
@@ -39,3 +23,10 @@ def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or scratch_dir(spark)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

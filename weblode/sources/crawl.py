@@ -18,6 +18,8 @@ def _prefix(root: str) -> str:
     local = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", "", root)
     if not local.startswith("/"):
         raise ValueError(f"root must be an absolute path or a URI: {root}")
+    if re.search(r"[*?\[\]{}]", local):
+        raise ValueError(f"root must be one folder, not a pattern: {root}")
     return re.sub("/+", "/", f"/{local}/")
 
 
@@ -25,26 +27,63 @@ def _below(prefix: str, file_path: Column) -> Column:
     """Path of a file relative to the root. File paths come percent-encoded."""
     path = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
     path = F.regexp_replace(path, r"\A[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/")
-    return F.substring(path, F.locate(prefix, path) + len(prefix), F.length(path))
+    at = F.locate(prefix, path)
+    error = F.raise_error(F.concat(F.lit("file is not below the root: "), path))
+    return F.when(at == 0, error).otherwise(F.substring(path, at + len(prefix), F.length(path)))
+
+
+def _files(spark: SparkSession, folder: str | list[str]) -> DataFrame:
+    return (
+        spark.read.option("recursiveFileLookup", True)
+        .option("ignoreCorruptFiles", True)
+        .option("ignoreMissingFiles", True)
+        .text(folder, wholetext=True)
+        .select(F.col("_metadata.file_path").alias("file"), "value")
+    )
+
+
+def _pages(files: DataFrame, prefix: str) -> DataFrame:
+    pages = files.select(
+        _below(prefix, F.col("file")).alias("path"), F.make_valid_utf8("value").alias("html")
+    ).where(~F.col("path").isin(*BOILERPLATE))
+    return pages.select(url_from_path(F.col("path")).alias("url"), "html").where("url <> ''")
 
 
 def read_crawl(spark: SparkSession, root: str) -> DataFrame:
-    """``(url, html)`` from all files below ``root``.
+    """``(url, html)`` from all files below the folder ``root``.
 
     Bytes are read as UTF-8 whatever the page declares. Corrupt and vanished
-    files are skipped; being denied access still fails the job. Files without
-    a dotted path segment have no URL and are dropped.
+    files are skipped (``skipped_files`` names them); being denied access fails
+    the job. Files without a dotted path segment have no URL and are dropped.
+    The driver lists all files: ``pack_crawl`` goes folder by folder instead.
     """
     prefix = _prefix(root)
-    files = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("ignoreCorruptFiles", True)
-        .option("ignoreMissingFiles", True)
-        .text(root, wholetext=True)
-        .select(
-            _below(prefix, F.col("_metadata.file_path")).alias("path"),
-            F.make_valid_utf8("value").alias("html"),
-        )
+    return _pages(_files(spark, root), prefix)
+
+
+def skipped_files(spark: SparkSession, root: str) -> DataFrame:
+    """``(file)``: the files below ``root`` that ``read_crawl`` cannot read.
+    Reads everything once more."""
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        .select(F.regexp_replace("path", r"\A[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/").alias("file"))
     )
-    pages = files.where(~F.col("path").isin(*BOILERPLATE))
-    return pages.select(url_from_path(F.col("path")).alias("url"), "html").where("url <> ''")
+    path = F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))
+    readable = _files(spark, root).select(
+        F.regexp_replace(path, r"\A[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/").alias("file"))
+    return listed.join(readable, "file", "left_anti")
+
+
+def pack_crawl(spark: SparkSession, root: str, out: str, folders: int = 1000) -> None:
+    """Write the pages below ``root`` as a parquet table ``(url, html)``, a
+    slice of top-level folders (hosts) at a time, so that the driver never
+    lists more than the files of ``folders`` hosts."""
+    prefix = _prefix(root)
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = sorted(e.getPath().toString() for e in entries if e.isDirectory())
+    schema = "url string, html string"
+    spark.createDataFrame([], schema).write.parquet(out)
+    for low in range(0, len(names), folders):
+        files = _files(spark, names[low : low + folders])
+        _pages(files, prefix).write.mode("append").parquet(out)

@@ -26,20 +26,34 @@ def check_new(rows: DataFrame, stored: DataFrame, keys: list[str]) -> None:
 
 
 def create_table(
-    rows: DataFrame, path: str, keys: list[str], max_records_per_file: int = 0
+    rows: DataFrame, path: str, keys: list[str], max_records_per_file: int = 0,
+    partition_by: list[str] | None = None, mode: str = "errorifexists", checked: bool = False,
 ) -> None:
-    """Write a new table; fail if it exists or if two rows share a key."""
-    check_unique(rows, keys)
-    rows.write.option("maxRecordsPerFile", max_records_per_file).parquet(path)
+    """Write a new table; fail if it exists (unless ``mode`` is overwrite) or,
+    unless the caller has ``checked`` that, if two rows share a key."""
+    if not checked:
+        check_unique(rows, keys)
+    _write(rows, path, max_records_per_file, partition_by, mode)
 
 
 def append_rows(
-    rows: DataFrame, path: str, keys: list[str], max_records_per_file: int = 0
+    rows: DataFrame, path: str, keys: list[str], max_records_per_file: int = 0,
+    partition_by: list[str] | None = None, mode: str = "append", checked: bool = False,
 ) -> None:
-    """Add rows to a table; fail before writing if a key is taken."""
-    check_unique(rows, keys)
-    check_new(rows, rows.sparkSession.read.parquet(path), keys)
-    writer = rows.write.mode("append").option("maxRecordsPerFile", max_records_per_file)
+    """Add rows to a table; unless ``checked``, fail before writing if two rows
+    share a key or a key is taken."""
+    if not checked:
+        check_unique(rows, keys)
+        check_new(rows, rows.sparkSession.read.parquet(path), keys)
+    _write(rows, path, max_records_per_file, partition_by, mode)
+
+
+def _write(
+    rows: DataFrame, path: str, max_records_per_file: int, partition_by: list[str] | None, mode: str
+) -> None:
+    writer = rows.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 

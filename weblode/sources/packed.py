@@ -5,8 +5,9 @@ postings ``word \\t url|count|url|count…``
 nodes    ``url|rank \\t link|link…``
 ======== ====================================
 
-Lists never grow with the corpus: a long one is written as several lines with
-the same key, and the readers put them together again. A tab, line break or
+Lists never grow with the corpus: a key with a long one has several lines, in
+any file, and every reader has to expect that. The readers here put them
+together again. A tab, line break or
 ``|`` in a URL would break the format, so the writers fail on it; parquet has
 no such limit.
 """

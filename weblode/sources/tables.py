@@ -8,14 +8,23 @@ from pyspark.sql import functions as F
 from weblode.functions.urls import self_url
 
 
+# A scan of at least so many bytes is cut by its files and row groups alone.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Share out a scan that has fewer partitions than there are cores, for
-    example one file with a single row group. Such a scan is small; a scan
-    that already fills the cluster is returned unchanged, without a shuffle."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
+    """Share out a scan that is small on disk, for example one file with a
+    single row group, over all cores. A larger one stays as it is: no shuffle,
+    and ``spark.sql.files.maxPartitionBytes`` cuts it."""
+    spark = scan.sparkSession
+    paths = scan.inputFiles()
+    if not paths or len(paths) > 64:
         return scan
-    return scan.repartition(cores)
+    size = 0
+    for path in paths:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        size += hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop_path).getLen()
+    return scan if size >= SPREAD_BYTES else scan.repartition(spark.sparkContext.defaultParallelism)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
