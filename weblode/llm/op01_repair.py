@@ -19,10 +19,11 @@ NAME = "op1_repair"
 
 END = 2
 #: Ids of a shard (or one longer document), rounds of replacement, pairs that a
-#: round replaces, and how often a pair must occur in the shard.
-SHARD_IDS, ROUNDS, ROUND_PAIRS, LEAST_COUNT = 1 << 20, 16, 4096, 12
+#: round replaces, how often a pair must occur in the shard, and the part of
+#: the symbols that a round must save for another to follow.
+SHARD_IDS, ROUNDS, ROUND_PAIRS, LEAST_COUNT, LEAST_SAVING = 1 << 20, 16, 4096, 12, 0.02
 #: Characters that are encoded at a time.
-STEP_CHARS = 1 << 20
+STEP_CHARS = 2 << 20
 
 _SHARDS = (
     "base long, n_docs long, n_ids long, rules binary, lengths binary, symbols binary, "
@@ -49,7 +50,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int, end: int = END) -> G
     """Re-Pair by rounds: count all pairs, take the most frequent that can't
     overlap (the first symbols of the pairs of a round and the second ones are
     disjoint; a pair of equal symbols is the only one with its symbol), replace
-    them everywhere, until no pair is frequent. The end id is in no pair, so a
+    them everywhere, until no pair is frequent or a round saves little. The end id is in no pair, so a
     symbol never reaches from one document into the next."""
     last = np.cumsum(sizes) - 1
     symbols = ids.astype(np.int64)
@@ -61,9 +62,9 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int, end: int = END) -> G
     for _ in range(ROUNDS):
         if len(symbols) < 2:
             break
-        usable = (symbols[:-1] != end) & (symbols[1:] != end)
-        keys, counts = np.unique((symbols[:-1] << 32 | symbols[1:])[usable], return_counts=True)
-        often = np.flatnonzero(counts >= LEAST_COUNT)
+        keys, counts = np.unique(symbols[:-1] << 32 | symbols[1:], return_counts=True)
+        usable = (keys >> 32 != end) & (keys & 0xFFFFFFFF != end)
+        often = np.flatnonzero(usable & (counts >= LEAST_COUNT))
         if not len(often):
             break
         often = often[np.lexsort((keys[often], -counts[often]))][: 4 * ROUND_PAIRS]
@@ -73,11 +74,13 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int, end: int = END) -> G
         symbols[at] = top + np.searchsorted(chosen, symbols[at] << 32 | symbols[at + 1])
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols, doc_end = symbols[keep], doc_end[keep]
+        before, symbols, doc_end = len(symbols), symbols[keep], doc_end[keep]
         known = np.concatenate(lengths)
         lengths.append(sum(np.where(p < base, 1, known[np.maximum(p - base, 0)] if len(known) else 1) for p in pairs.T))
         rules.append(pairs)
         top += len(chosen)
+        if len(symbols) > before * (1 - LEAST_SAVING):
+            break
     bounds = np.append(0, np.flatnonzero(doc_end) + 1)
     none = np.zeros((0, 2), np.int64)
     return Grammar(base, np.concatenate([none, *rules]), np.concatenate(lengths), symbols, bounds)

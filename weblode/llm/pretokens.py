@@ -12,7 +12,7 @@ import pyarrow as pa
 from weblode.llm.common import mix64
 
 #: Pieces that a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 2_000_000
 
 _LETTER, _NUMBER, _OTHER, _SPACE = 1, 2, 3, 4
 #: What may follow an apostrophe to make a piece of its own.
@@ -55,7 +55,10 @@ class Encoder:
         return cuts == pieces and whole == parts
 
     def _forget(self) -> None:
-        self.index: dict[int, int] = {}
+        # hashes of known pieces, ascending, and the slot of each; the ids of
+        # slot k are flat[first[k] : first[k + 1]]
+        self.known = np.zeros(0, np.uint64)
+        self.slot = np.zeros(0, np.int64)
         self.flat = np.zeros(1 << 16, np.uint32)
         self.first = np.zeros(1 << 14, np.int64)
         self.used = 0
@@ -138,7 +141,7 @@ class Encoder:
         values = mix64(chars.astype(np.uint64) + np.uint64(1)) * np.multiply.accumulate(powers)[within]
         keys, where, back = np.unique(
             mix64(np.add.reduceat(values, begin)) + size.astype(np.uint64), return_index=True, return_inverse=True)
-        slots = self._slots(keys.tolist(), joined, begin[where].tolist(), size[where].tolist())
+        slots = self._slots(keys, joined, begin[where], size[where])
         piece = slots[back]
         low, length = self.first[piece], self.first[piece + 1] - self.first[piece]
         ends = np.cumsum(length)
@@ -147,45 +150,52 @@ class Encoder:
         edges = before[np.searchsorted(begin, at)]
         return ids, np.diff(edges)
 
-    def _slots(self, keys: list[int], joined: str, begin: list[int], size: list[int]) -> np.ndarray:
-        if len(self.index) > REMEMBERED:
+    def _slots(self, keys: np.ndarray, joined: str, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        if len(self.known) > REMEMBERED:
             self._forget()
-        new = [k for k, key in enumerate(keys) if key not in self.index]
-        if new:
-            texts = [joined[begin[k] : begin[k] + size[k]] for k in new]
-            coded = self._coded(texts)
-            lengths = np.array([len(c) for c in coded], np.int64)
-            flat = np.fromiter((i for c in coded for i in c), np.uint32, int(lengths.sum()))
-            n = len(self.index)
-            self.first = _room(self.first, n + len(new) + 1)
+        place = np.searchsorted(self.known, keys)
+        new = np.ones(len(keys), bool)
+        inside = place < len(self.known)
+        new[inside] = self.known[place[inside]] != keys[inside]
+        if new.any():
+            starts, sizes = begin[new].tolist(), size[new].tolist()
+            flat, lengths = self._coded([joined[a : a + n] for a, n in zip(starts, sizes, strict=True)])
+            n = len(self.known)
+            self.first = _room(self.first, n + len(lengths) + 1)
             self.flat = _room(self.flat, self.used + len(flat))
             self.flat[self.used : self.used + len(flat)] = flat
-            self.first[n + 1 : n + 1 + len(new)] = self.used + np.cumsum(lengths)
+            self.first[n + 1 : n + 1 + len(lengths)] = self.used + np.cumsum(lengths)
             self.used += len(flat)
-            for j, k in enumerate(new):
-                self.index[keys[k]] = n + j
-        return np.array([self.index[key] for key in keys], np.int64)
-
-    def _coded(self, texts: list[str]) -> list[list[int]]:
-        """Ids of pieces; those without a newline go many at a time, as lines."""
-        out: list[list[int]] = [[]] * len(texts)
-        lines = [k for k, t in enumerate(texts) if "\n" not in t and not t.isspace()]
-        other = [k for k in range(len(texts)) if "\n" in texts[k] or texts[k].isspace()]
-        for low in range(0, len(lines), 256):
-            part = lines[low : low + 256]
-            ids = self.tokenizer.encode("\n".join(texts[k] for k in part), add_special_tokens=False).ids
-            own: list[int] = []
-            k = 0
-            for i in ids:
-                if i == self.newline:
-                    out[part[k]] = own
-                    own, k = [], k + 1
-                else:
-                    own.append(i)
-            out[part[k]] = own
+            self.known = np.insert(self.known, place[new], keys[new])
+            self.slot = np.insert(self.slot, place[new], n + np.arange(len(lengths)))
+            place = np.searchsorted(self.known, keys)
+        return self.slot[place]
+
+    def _coded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, one after another, and how many each has. Those
+        without white space at their end go many at a time, as lines."""
+        lengths = np.zeros(len(texts), np.int64)
+        lines = [k for k, t in enumerate(texts) if not t[-1].isspace()]
+        other = [k for k, t in enumerate(texts) if t[-1].isspace()]
+        groups = [lines[low : low + 1024] for low in range(0, len(lines), 1024)]
+        coded = self.tokenizer.encode_batch_fast(
+            ["\n".join([texts[k] for k in group]) for group in groups], add_special_tokens=False)
+        parts = []
+        for group, encoding in zip(groups, coded, strict=True):
+            ids = np.array(encoding.ids, np.uint32)
+            breaks = np.flatnonzero(ids == self.newline)
+            lengths[group] = np.diff(np.concatenate([[-1], breaks, [len(ids)]])) - 1
+            parts.append(np.delete(ids, breaks))
         for k in other:
-            out[k] = self.tokenizer.encode(texts[k], add_special_tokens=False).ids
-        return out
+            parts.append(np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, np.uint32))
+            lengths[k] = len(parts[-1])
+        # from the order they were coded in to the order asked for
+        flat = np.concatenate([np.zeros(0, np.uint32), *parts])
+        order = np.array(lines + other, np.int64)
+        low = np.zeros(len(texts), np.int64)
+        low[order] = np.cumsum(lengths[order]) - lengths[order]
+        ends = np.cumsum(lengths)
+        return flat[np.arange(len(flat)) + np.repeat(low - (ends - lengths), lengths)], lengths
 
 
 def _room(array: np.ndarray, size: int) -> np.ndarray:
