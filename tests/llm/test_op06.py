@@ -1,0 +1,78 @@
+"""Main text of pages: structure, references, repetition."""
+
+import random
+
+import numpy as np
+import pytest
+
+from weblode.llm import op06_html as op
+
+
+def text(page):
+    blocks = op.parse(page)
+    n = sum(len(t.split(" ")) for _, t in blocks)
+    return op.main_text(blocks, np.zeros(n, bool))
+
+
+@pytest.mark.parametrize("page,expected", [
+    ("", ""),
+    ("plain", "plain"),
+    ("<nav>a</nav><article><h1>T &amp; x</h1><p>one<br>two <b>bo</b>ld</article><footer>f", "T & x\none two bold"),
+    ("<article><p>a<p>b</article><div>after</div>", "a\nb"),
+    ("<article><script>var t='</p>';</script><p>x<!-- <p>no --> y</p></article>", "x y"),
+    ("<article><p title='a>b'>x</p><style>p{}</style></article>", "x"),
+    ("<article>a<div class='share'>no<div>no</div></div><div>yes</div><aside>no</aside></article>", "a\nyes"),
+    ("<article><p class=ad>no<p>yes</article>", "yes"),
+    ("<div class='ad'>never closed<article><p>yes</article>", "yes"),
+    ("<main><p>yes</p></main><section id='comments'><article>no</article></section>", "yes"),
+    ("<header>no</header><article><header><h1>yes</h1></header></article>", "yes"),
+    ("<form>no</form><p>yes</p><p hidden>no</p>", "yes"),
+    ("<ARTICLE><P>&eacute;&#233;&#x41;&nbsp;z \n\t y</ARTICLE>", "ééA z y"),
+    ("<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table></article>", "a\nb\nc d"),
+    ("<article><p>1 < 2 & 3</article>", "1 < 2 & 3"),
+    ("<script>never closed <article>x</article>", ""),
+    ("<article><article>in</article>out</article>no", "in\nout"),
+    ("<p>a</p><!-- open", "a"),
+])
+def test_structure(page, expected):
+    assert text(page) == expected
+
+
+def test_repeated_runs_against_brute_force():
+    rng = random.Random(1)
+    for _ in range(30):
+        shared = [f"s{k}" for k in range(12)]
+        streams = [[rng.choice("abcd") for _ in range(rng.randrange(20))] + shared[: rng.choice((0, 5, 12))] for _ in range(8)]
+        runs = {}
+        for k, s in enumerate(streams):
+            for i in range(len(s) - 3):
+                runs.setdefault(tuple(s[i : i + 4]), set()).add(k)
+        for s, got in zip(streams, op.repeated(streams, 4, 3)):
+            expected = np.zeros(len(s), bool)
+            for i in range(len(s) - 3):
+                if len(runs[tuple(s[i : i + 4])]) >= 3:
+                    expected[i : i + 4] = True
+            assert got.tolist() == expected.tolist()
+    assert [x.tolist() for x in op.repeated([[], ["a"]])] == [[], [False]]
+
+
+def test_pages(spark):
+    menu = "<div>home news about contact terms privacy help login sitemap</div>"
+    rows = [(k, f"http://h.x/{k}", f"{menu}<p>{k} own words of page number {k * 7}</p>", "c") for k in range(8)]
+    rows += [(50, "https://other/x", f"{menu}<p>single</p>", "c"), (51, None, None, None), (51, None, None, None), (None, "", "", "c")]
+    rows.append((60, "http://h.x/60", "<article><p>" + "long " * 40_000 + "</p></article>", "c"))
+    rows += [(70 + k, f"http://h.x/{k}", "<article><p>the very same article of ten words and more here</p></article>", "c") for k in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string").repartition(4)
+    got = {r["page_id"]: r for r in op.extract(df).collect()}
+    assert op.extract(df).count() == len(rows)
+    assert all(got[k]["text"] == f"{k} own words of page number {k * 7}" for k in range(8))
+    assert got[50]["text"].endswith("\nsingle") and got[51]["text"] == "" and got[None]["n_chars"] == 0
+    assert got[60]["n_chars"] == 5 * 40_000 - 1
+    assert all(got[70 + k]["text"].startswith("the very same") for k in range(6))
+    assert op.extract(df.limit(0)).count() == 0
+
+
+def test_hot_hosts_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(op, "HOT_PAGES", 4)
+    df = spark.createDataFrame([(k, f"http://hot/{k}", f"<p>page {k}") for k in range(40)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in op.extract(df).collect()} == {k: f"page {k}" for k in range(40)}

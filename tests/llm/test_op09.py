@@ -1,0 +1,57 @@
+"""Embedding links against brute force."""
+
+import numpy as np
+import pytest
+
+from weblode.llm import op09_embeddings as op
+
+
+def brute(rows, threshold=0.9):
+    vectors = []
+    for _, v in rows:
+        ok = v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
+        vectors.append(np.array(v, np.float64) / np.linalg.norm(np.array(v, np.float64)) if ok else None)
+    n = [0] * len(rows)
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = vectors[i], vectors[j]
+            if a is not None and b is not None and len(a) == len(b) and a @ b >= threshold:
+                n[i] += 1
+                n[j] += 1
+                x, y = label[i], label[j]
+                label = [min(x, y) if z in (x, y) else z for z in label]
+    least = {}
+    for (k, _), x in zip(rows, label):
+        if k is not None:
+            least[x] = min(k, least.get(x, k))
+    return sorted(((k, c, least.get(x, k)) for (k, _), c, x in zip(rows, n, label)), key=repr)
+
+
+@pytest.mark.parametrize("tile", [4096, 7])
+def test_against_brute_force(spark, monkeypatch, tile):
+    monkeypatch.setattr(op, "TILE", tile)
+    monkeypatch.setattr(op, "STRIP", 5)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 16))
+    rows = [(k, (centres[k % 12] + rng.normal(0, (0.02, 0.35)[k % 2], 16)).astype(np.float32).tolist()) for k in range(70)]
+    rows += [(100, rows[3][1]), (101, rows[3][1]), (3, rows[3][1]), (None, rows[5][1]), (102, [2 * x for x in rows[8][1]])]
+    rows += [(103, None), (104, []), (105, [0.0] * 16), (106, [float("nan")] + [1.0] * 15), (107, [None] + [1.0] * 15),
+             (108, [float("inf")] * 16), (109, [1.0, 2.0]), (110, [2.0, 4.0]), (111, [1e-30] * 16), (112, [1e30] * 16)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, row int").repartition(3)
+    got = op.link_embeddings(df).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
+
+
+def test_error_bound_holds():
+    rng = np.random.default_rng(1)
+    unit = op._unit(rng.normal(size=(400, 64)) ** 3)
+    scale = np.abs(unit).max(axis=1) / 127
+    codes = np.rint(unit / scale[:, None])
+    error = np.sqrt(((unit - codes * scale[:, None]) ** 2).sum(axis=1))
+    off = np.abs(unit @ unit.T - (codes @ codes.T) * scale[:, None] * scale[None, :])
+    assert (off <= error[:, None] + error[None, :] + 3 * error[:, None] * error[None, :]).all()
+
+
+def test_empty(spark):
+    assert op.link_embeddings(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
