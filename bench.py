@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -35,6 +36,8 @@ def run(spark: SparkSession, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    # one machine, so its temporary folder will do for what a cluster shares
+    shared = tempfile.mkdtemp(prefix="weblode-bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("weblode-bench")
@@ -43,6 +46,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", shared)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
