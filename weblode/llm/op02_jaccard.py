@@ -19,12 +19,15 @@ NAME = "op2_jaccard"
 
 #: Words of a shingle. Two sets link if 100 * common >= 75 * all.
 SHINGLE = 5
-#: A shingle in more than one of so many documents counts as frequent; such
-#: shingles come last in the order, so tiles are made of rare ones. There are
-#: at most RARE times the mean set size of them, however many documents.
-RARE = 1000
+#: A shingle of so many sets counts as frequent. Frequent ones come last in the
+#: order, so tiles are made of rare ones. They are told by a filter of a fixed
+#: size; a shingle that it takes for frequent by mistake only changes the order.
+FREQUENT = 24
 #: Rows of a tile that one task compares at a time; larger tiles are dealt out.
 TILE = 2048
+#: In tiles of up to so many rows, pairs come first and signatures later, once
+#: for each pair: two sets with a passage in common share many small tiles.
+SMALL = 8
 #: Shingles of one local count of frequent ones.
 COUNT_BLOCK = 4 << 20
 
@@ -78,56 +81,63 @@ def _parts(batches: Iterator[pa.RecordBatch], column: str = "text"):
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document with its set, and rows of frequent shingles: those in
-    more than one in ``RARE`` of the distinct sets of a block. What a block
-    leaves out is at most that share of its sets."""
+    """A row per document with its set, the first with its signature, and a row
+    with the count of each shingle that several sets of a block have."""
     seen: set[int] = set()
     block: list[np.ndarray] = []
-    size = sets = 0
+    size = 0
 
     def frequent() -> pa.RecordBatch:
         values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *block]), return_counts=True)
-        often = counts >= max(2, sets / RARE)
+        often = counts >= 2
         k = int(often.sum())
-        return _rows([None] * k, [None] * k, [None] * k, values[often].view(np.int64), counts[often], 0)
+        nothing = [None] * k
+        return _rows(nothing, nothing, nothing, values[often].view(np.int64), counts[often], nothing)
 
     for part, hashes, first in _parts(batches):
         ids = set_ids(hashes, first)
         n = np.diff(first)
-        yield _rows(part["key"], part["print"], n, ids, None, len(part))
+        bits: list = [None] * len(part)
         for r in np.flatnonzero(n).tolist():
             if (own := int(ids[r])) not in seen:
                 seen.add(own)
                 block.append(hashes[first[r] : first[r + 1]])
-                size, sets = size + int(n[r]), sets + 1
+                bits[r] = signature(block[-1])
+                size += int(n[r])
+        yield _rows(part["key"], part["print"], n, ids, [None] * len(part), bits)
         if size >= COUNT_BLOCK:
             yield frequent()
-            block, size, sets = [], 0, 0
+            block, size = [], 0
     yield frequent()
 
 
-def _rows(key, prints, n, value, count, documents: int) -> pa.RecordBatch:
+def _rows(key, prints, n, value, count, bits) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(key, pa.int64()), pa.array(prints, pa.int64()), pa.array(n, pa.int64()),
-         pa.array(value, pa.int64()),
-         pa.array([None] * documents if count is None else count, pa.int64())],
-        names=["key", "print", "n", "value", "count"],
+         pa.array(value, pa.int64()), pa.array(count, pa.int64()), pa.array(bits, pa.binary())],
+        names=["key", "print", "n", "value", "count", "bits"],
     )
 
 
 # --- tiles -------------------------------------------------------------------
 
 
-def prefix(n: np.ndarray, share: int) -> np.ndarray:
-    """How many of the first shingles of a set of ``n`` must hold a common one
-    if ``share`` parts in 28 of it are common: 21 with a smaller linked set,
-    24 with a larger one (common >= 3/7 of both sizes, and those within 3/4)."""
-    return n - -(-n * share // 28) + 1
+def prefix(n: np.ndarray) -> np.ndarray:
+    """How many of the first shingles of a set of ``n`` hold one that is common
+    with any linked set: of at least 3/4 of its size, so 3/4 are common."""
+    return n - -(-n * 3 // 4) + 1
+
+
+def reach(n: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The largest linked set for which the shingle at ``place`` (from 0) may be
+    the first common one: with a set of m, ceil(3 (n + m) / 7) are common, so
+    one of them is among the first n - ceil(3 (n + m) / 7) + 1."""
+    return (7 * (n - place) - 3 * n) // 3
 
 
 def _postings(frequent):
     """The prefix shingles of each set, rare ones first: (shingle, set, size,
-    whether the set may be the smaller one of a pair)."""
+    size of the largest partner)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = frequent.value
@@ -142,24 +152,20 @@ def _postings(frequent):
                     new[r] = True
                     key[first[r] : first[r + 1]].sort()
             rows = np.flatnonzero(new)
-            long_, short = prefix(n[rows], 21), prefix(n[rows], 24)
+            long_ = prefix(n[rows])
             within = np.arange(long_.sum()) - np.repeat(np.cumsum(long_) - long_, long_)
             at = np.repeat(first[rows], long_) + within
             yield pa.RecordBatch.from_arrays(
                 [pa.array((key[at] & ~_TOP).view(np.int64)), pa.array(np.repeat(ids[rows], long_)),
-                 pa.array(np.repeat(n[rows], long_)), pa.array(within < np.repeat(short, long_))],
-                names=["shingle", "set", "n", "short"],
+                 pa.array(np.repeat(n[rows], long_)), pa.array(reach(np.repeat(n[rows], long_), within))],
+                names=["shingle", "set", "n", "reach"],
             )
 
     return run
 
 
 def _ranked(hashes: np.ndarray, often: np.ndarray) -> np.ndarray:
-    if not len(often):
-        return hashes.copy()
-    place = np.searchsorted(often, hashes)
-    place[place == len(often)] = 0
-    return np.where(often[place] == hashes, hashes | _TOP, hashes)
+    return np.where(_may_hold(often, hashes), hashes | _TOP, hashes)
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,9 +198,9 @@ def _band(n: Column) -> Column:
 def _members(tiles: DataFrame) -> DataFrame:
     """Rows by tile: a shingle and the band of the smaller set of a pair. A set
     is in the tile of its band, and in the one below as a larger partner."""
-    return tiles.withColumn("own", _band(F.col("n"))).withColumn(
-        "band", F.explode(F.array(F.col("own"), F.col("own") - 1))
-    ).withColumn("short", F.col("short") & (F.col("own") == F.col("band"))).drop("own")
+    own = tiles.withColumn("own", _band(F.col("n")))
+    return own.withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1))).withColumn(
+        "home", F.col("own") == F.col("band")).drop("own")
 
 
 def _fits() -> Column:
@@ -202,18 +208,25 @@ def _fits() -> Column:
     return F.least("n_a", "n_b") * 4 >= F.greatest("n_a", "n_b") * 3
 
 
-def _stars(members: DataFrame, hub) -> DataFrame:
-    """Distinct pairs of a tile's members with its hub, a row per member."""
-    hubs = members.groupBy("shingle", "band").agg(hub(F.struct("set", "n")).alias("hub"))
-    pairs = members.join(hubs, ["shingle", "band"]).select(
-        F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("hub.set").alias("b"), F.col("hub.n").alias("n_b")
-    )
-    return pairs.where("a <> b").where(_fits()).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-
-def _whole_groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list[pa.Table]]:
-    """Groups of equal ``columns`` of sorted rows, whole."""
+def _stars(tiles: DataFrame) -> DataFrame:
+    """A pair for each set: with the hub that it shares most tiles with. A
+    tile's hub is the set of which most of the first shingles are shared, as
+    of an original with many altered copies."""
+    shared = tiles.groupBy("set").agg((F.count(F.lit(1)) / F.first("n")).alias("shared"))
+    rated = tiles.select("shingle", "set", "n").join(shared, "set")
+    hubs = rated.groupBy("shingle").agg(F.max(F.struct("shared", "set", "n")).alias("hub"))
+    pairs = rated.join(hubs, "shingle").select(
+        "set", F.col("n").alias("n_a"), F.col("hub.set").alias("hub"), F.col("hub.n").alias("n_b")
+    ).where("set <> hub").where(_fits())
+    best = pairs.groupBy("set", "hub").count().groupBy("set").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
+    return best.select(F.greatest("set", "hub").alias("a"), F.least("set", "hub").alias("b")).distinct()
+
+
+def _whole_groups(
+    batches: Iterator[pa.RecordBatch], columns: list[str], apart: bool = True
+) -> Iterator[list[pa.Table]]:
+    """Groups of equal ``columns`` of sorted rows, whole; each by itself, or
+    not ``apart``, all that are at hand in one table."""
     rest: pa.Table | None = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -226,7 +239,10 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iter
         for key in keys:
             new[1:] |= key[1:] != key[:-1]
         starts = np.flatnonzero(new)
-        yield [table.slice(a, b - a) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+        if apart:
+            yield [table.slice(a, b - a) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+        elif starts[-1]:
+            yield [table.slice(0, int(starts[-1]))]
         rest = table.slice(int(starts[-1]))
     if rest is not None and len(rest):
         yield [rest]
@@ -236,9 +252,9 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iter
 
 
 def signature(hashes: np.ndarray) -> bytes:
-    """Parities of the hashes by their low bits, at least as many bits as
+    """Parities of the hashes by their low bits, at least twice as many bits as
     hashes. Two signatures differ in no more bits than their sets in elements."""
-    width = max(64, 1 << int(len(hashes) - 1).bit_length())
+    width = max(64, 2 << int(len(hashes) - 1).bit_length())
     odd = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
@@ -251,44 +267,47 @@ def _folded(bits: bytes, size: int) -> np.ndarray:
 
 
 def _sets(bloom):
-    """Size, signature and hashes of the sets that the filter may hold."""
+    """The hashes of the sets that the filter may hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = bloom.value
         seen: set[int] = set()
         for _, hashes, first in _parts(batches):
             ids, n = set_ids(hashes, first), np.diff(first)
-            maybe = n > 0
-            for place in _places(ids):
-                maybe &= (words[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
-            out: dict[str, list] = {"set": [], "n": [], "bits": [], "hashes": []}
+            maybe = (n > 0) & _may_hold(words, ids.view(np.uint64))
+            kept, values = [], []
             for r in np.flatnonzero(maybe).tolist():
                 if (own := int(ids[r])) not in seen:
                     seen.add(own)
-                    part = hashes[first[r] : first[r + 1]]
-                    for name, value in zip(out, (own, len(part), signature(part), part.tobytes()), strict=True):
-                        out[name].append(value)
+                    kept.append(own)
+                    values.append(hashes[first[r] : first[r + 1]].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["set"], pa.int64()), pa.array(out["n"], pa.int64()),
-                 pa.array(out["bits"], pa.binary()), pa.array(out["hashes"], pa.binary())], names=list(out))
+                [pa.array(kept, pa.int64()), pa.array(values, pa.binary())], names=["set", "hashes"])
 
     return run
 
 
-#: Bits of the filter that goes to the executors, whatever the input.
-BLOOM = 1 << 25
+#: Bits of a filter that goes to the executors, whatever the input.
+BLOOM = 1 << 26
 
 
-def _places(ids: np.ndarray) -> list[np.ndarray]:
-    """Two places in the filter, from the low and the high part of an id."""
-    return [(ids & (BLOOM - 1)).astype(np.int64), ((ids >> 32) & (BLOOM - 1)).astype(np.int64)]
+def _may_hold(words: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Whether the filter has both places of a number set, from its low and its
+    high part."""
+    out = np.ones(len(numbers), bool)
+    for shift in (0, 32):
+        place = (numbers >> np.uint64(shift)) & np.uint64(BLOOM - 1)
+        out &= (words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+    return out
 
 
-def _bloom(candidates: DataFrame) -> np.ndarray:
-    low, high = (F.shiftright("set", k).bitwiseAND(F.lit(BLOOM - 1)) for k in (0, 32))
-    words = candidates.select(F.explode(F.array(low, high)).alias("p")).groupBy(
+def _bloom(numbers: DataFrame) -> np.ndarray:
+    """The filter of a column of distinct numbers; the driver gets its words,
+    at most BLOOM / 64 of them."""
+    low, high = (F.shiftright(numbers.columns[0], k).bitwiseAND(F.lit(BLOOM - 1)) for k in (0, 32))
+    words = numbers.select(F.explode(F.array(low, high)).alias("p")).groupBy(
         F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("bits"))
-    found = words.toArrow()  # at most BLOOM / 64 rows
+    found = words.toArrow()
     out = np.zeros(BLOOM >> 6, np.int64)
     out[found["w"].to_numpy()] = found["bits"].to_numpy()
     return out.view(np.uint64)
@@ -321,11 +340,14 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, columns: tuple[str, ...]) -> D
     return pairs
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, bounded: bool = False) -> DataFrame:
-    """The pairs that link: first by signatures alone, then by exact sets."""
-    if not bounded:
-        pairs = _with_sets(pairs, sets, ("bits", "n")).mapInArrow(_bounded, "a long, b long")
-    return _with_sets(pairs, sets, ("hashes",)).mapInArrow(_exact, "a long, b long")
+def _exact_links(words: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that link, by the exact sets; these are made from the texts
+    once more, only for documents that occur in a pair."""
+    candidates = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    sent = words.sparkSession.sparkContext.broadcast(_bloom(candidates))
+    sets = words.select("text").mapInArrow(_sets(sent), "set long, hashes binary")
+    sets = stage(sets.join(candidates, "set", "left_semi").dropDuplicates(["set"]))
+    return stage(_with_sets(pairs, sets, ("hashes",)).mapInArrow(_exact, "a long, b long"))
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,9 +365,27 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
 
+def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of small tiles, by sizes alone. Rows are sorted by tile, so a
+    partner is at most ``SMALL`` - 1 rows further on."""
+    for groups in _whole_groups(batches, ["shingle", "band"], apart=False):
+        shingle, band, of, n, most, home, component = (
+            groups[0][c].to_numpy() for c in ("shingle", "band", "set", "n", "reach", "home", "component"))
+        first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for by in range(1, min(SMALL, len(of))):
+            i, j = slice(None, -by), slice(by, None)
+            fit = (shingle[i] == shingle[j]) & (band[i] == band[j]) & (component[i] != component[j])
+            fit &= (n[j] <= most[i]) & (n[i] <= most[j]) & (home[i] | home[j])
+            first.append(of[i][fit])
+            second.append(of[j][fit])
+        a, b = np.concatenate(first), np.concatenate(second)
+        both = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+
 def _pairs_of(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    of, n, component, short, part = (
-        group[c].to_numpy() for c in ("set", "n", "component", "short", "part"))
+    of, n, component, most, home, part = (
+        group[c].to_numpy() for c in ("set", "n", "component", "reach", "home", "part"))
     signatures = group["bits"].to_pylist()
     size = min(map(len, signatures))
     bits = np.stack([_folded(x, size) for x in signatures])
@@ -354,9 +394,8 @@ def _pairs_of(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     for low in range(0, len(of), 256):
         rows = slice(low, low + 256)
         i, j = n[rows, None], n[None, :]
-        fit = (4 * np.minimum(i, j) >= 3 * np.maximum(i, j)) & (component[rows, None] != component[None, :])
-        fit &= np.where(i < j, short[rows, None], short[None, :]) | (i == j)
-        fit &= of[rows, None] < of[None, :]
+        fit = (j <= most[rows, None]) & (i <= most[None, :]) & (component[rows, None] != component[None, :])
+        fit &= (of[rows, None] < of[None, :]) & (home[rows, None] | home[None, :])
         if across:
             fit &= part[rows, None] != part[None, :]
         x, y = np.nonzero(fit)
@@ -370,21 +409,26 @@ def _pairs_of(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([nothing, *first]), np.concatenate([nothing, *second])
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    return members.join(components(links).withColumnRenamed("node", "set"), "set", "left").withColumn(
-        "component", F.coalesce("component", "set"))
+def _open(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of groups that hold more than one component, with their number;
+    only such that reach the smallest set of the group."""
+    groups = rows.groupBy(*keys).agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("rows"),
+        F.min("n").alias("smallest"))
+    found = rows.join(groups.where("least <> most").select(*keys, "rows", "smallest"), keys)
+    return found.where("reach >= smallest").drop("smallest")
 
 
-def _open_tiles(members: DataFrame) -> DataFrame:
-    """Members of tiles that still hold more than one component."""
-    tiles = members.groupBy("shingle", "band").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("rows"))
-    return members.join(tiles.where("least <> most").select("shingle", "band", "rows"), ["shingle", "band"])
-
-
-def _residual(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs across components. A tile of many rows is dealt out by pairs of
-    its parts, so a task holds two parts at most."""
+def _residual(members: DataFrame, signs: DataFrame) -> DataFrame:
+    """Pairs across components that signatures allow. A tile of many rows is
+    dealt out by pairs of its parts, so a task holds two parts at most."""
+    tile = ["shingle", "band"]
+    small = (
+        members.where(F.col("rows") <= SMALL).drop("rows").repartition(*tile).sortWithinPartitions(*tile)
+        .mapInArrow(_paired, "a long, b long").distinct()
+    )
+    small = _with_sets(small, signs, ("bits", "n")).mapInArrow(_bounded, "a long, b long")
+    members = members.where(F.col("rows") > SMALL)
     parts = F.greatest(F.ceil(F.col("rows") / TILE), F.lit(1)).cast("int")
     part = F.pmod(F.xxhash64("set"), parts).cast("int")
     dealt = (
@@ -393,32 +437,34 @@ def _residual(members: DataFrame, sets: DataFrame) -> DataFrame:
         .withColumn("one", F.least("part", "other")).withColumn("two", F.greatest("part", "other"))
     )
     keys = ["shingle", "band", "one", "two"]
-    return (
-        dealt.join(sets.select("set", "bits"), "set")
-        .select(*keys, "set", "n", "short", "component", "part", "bits")
+    large = (
+        dealt.join(signs.select("set", "bits"), "set")
+        .select(*keys, "set", "n", "reach", "home", "component", "part", "bits")
         .repartition(*keys).sortWithinPartitions(*keys)
         .mapInArrow(_compared, "a long, b long").distinct()
     )
+    return small.unionByName(large)
 
 
 # --- the operator ------------------------------------------------------------
 
 
 def jaccard_groups(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, print, n_shingles, component_id)``, one row per document.
+    """``(key, print, n_shingles, component_id, group)``, one row per document.
 
     Sets are the distinct 5-word shingles of a whole text, as 63-bit hashes;
     two documents link if 100 times the common shingles are at least 75 times
     all of theirs. Equal sets become one. A linked pair shares one of the first
     shingles of both, rare ones first, so the sets with a common one, and of
-    sizes of one band, form a tile. Members are compared with a hub of each
-    tile, then what is still apart with each other, by signatures before exact
-    sets. Whatever order or partitions, the links' components come out alike.
+    sizes of one band, form a tile. First each set is compared with one hub,
+    an original if there is one; then, in each tile, all that is still apart
+    with each other; both by signatures before exact sets. Whatever order or partitions, the links' components come out alike.
 
     Texts without words (null, empty) have no shingles and stand alone. Rows
     with equal or null keys are documents of their own; the component is the
     smallest key reachable, null only if all keys there are null. ``print`` is
-    a hash of the text. Other columns are not read; an empty table gives an
+    a hash of the text, ``group`` a number of the component that does not depend
+    on keys, null without shingles. Other columns are not read; an empty table gives an
     empty table.
     """
     spark = documents.sparkSession
@@ -426,47 +472,48 @@ def jaccard_groups(documents: DataFrame, key: str = "doc_id", text: str = "text"
     words = documents.select(
         F.col(f"`{key}`").cast("long").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("print"),
         blank(F.col(f"`{text}`")).alias("text"))
-    profile = stage(words.mapInArrow(_profile, "key long, print long, n long, value long, count long"))
+    profile = stage(words.mapInArrow(_profile, "key long, print long, n long, value long, count long, "
+        "bits binary"))
     own = profile.where("n is not null").withColumnRenamed("value", "set")
-    links = _links(spark, words, profile, own.where("n > 0").count())
+    links = _links(spark, words, profile)
     roots = components(links).withColumnRenamed("node", "set")
     rooted = own.join(roots, "set", "left").select(
         "key", "print", "n", F.when(F.col("n") > 0, F.coalesce("component", "set")).alias("root"))
     least = rooted.where("root is not null").groupBy("root").agg(F.min("key").alias("least"))
     return rooted.join(least, "root", "left").select(
         F.col("key").alias(key), "print", F.col("n").alias("n_shingles"),
-        F.coalesce("least", "key").alias("component_id"))
+        F.coalesce("least", "key").alias("component_id"), F.col("root").alias("group"))
 
 
-def _links(spark: SparkSession, words: DataFrame, profile: DataFrame, n_sets: int) -> DataFrame:
+def _links(spark: SparkSession, words: DataFrame, profile: DataFrame) -> DataFrame:
     often = profile.where("n is null").groupBy("value").agg(F.sum("count").alias("n")).where(
-        F.col("n") >= max(2, n_sets / RARE)).select("value").toArrow()["value"].to_numpy()
-    frequent = spark.sparkContext.broadcast(np.sort(often.view(np.uint64)))
-    postings = words.select("text").mapInArrow(_postings(frequent), "shingle long, set long, n long, short boolean")
+        F.col("n") >= FREQUENT).select("value")
+    frequent = spark.sparkContext.broadcast(_bloom(often))
+    schema = "shingle long, set long, n long, reach long"
+    postings = words.select("text").mapInArrow(_postings(frequent), schema)
     tiles = stage(
         postings.repartition("shingle").sortWithinPartitions("shingle", "set")
-        .mapInArrow(_shared, "shingle long, set long, n long, short boolean"))
-    candidates = tiles.select("set").distinct()
-    bloom = spark.sparkContext.broadcast(_bloom(candidates))
-    sets = stage(
-        words.select("text").mapInArrow(_sets(bloom), "set long, n long, bits binary, hashes binary")
-        .join(candidates, "set", "left_semi").dropDuplicates(["set"]))
-    members = stage(_members(tiles))
-    links = stage(_verified(_stars(members, F.min), sets))
-    open_ = stage(_open_tiles(_labelled(members, links)).drop("rows"))
-    more = stage(_verified(_stars(open_.drop("component"), F.max), sets))
-    links = links.unionByName(more)
-    rest = _open_tiles(_labelled(open_.drop("component"), links))
-    return links.unionByName(stage(_verified(_residual(rest, sets), sets, bounded=True)))
+        .mapInArrow(_shared, schema))
+    signs = stage(profile.where("bits is not null").select(
+        F.col("value").alias("set"), "n", "bits").dropDuplicates(["set"]))
+    near = stage(_with_sets(_stars(tiles), signs, ("bits", "n")).mapInArrow(_bounded, "a long, b long"))
+    links = _exact_links(words, near)
+    labels = components(links).withColumnRenamed("node", "set")
+    labelled = tiles.join(labels, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    apart = _members(_open(labelled, ["shingle"]).drop("rows"))
+    apart = stage(_open(apart, ["shingle", "band"]))
+    rest = stage(_residual(apart, signs).join(near, ["a", "b"], "left_anti"))
+    return links.unionByName(_exact_links(words, rest)) if rest.head(1) else links
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_groups(read_table(spark, sf_dir, "documents")).drop("print")
+    return jaccard_groups(read_table(spark, sf_dir, "documents")).drop("print", "group")
 
 
 SQL = r"""with recursive docs as (select doc_id,
     list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-      '[^ 	-]+'), lambda w: w <> '') w from documents),
+      '[^ 	-
+]+'), lambda w: w <> '') w from documents),
 shingles as (select distinct doc_id, array_to_string(w[i : i + least(5, len(w)) - 1], ' ') s
   from docs, unnest(range(1, greatest(len(w) - 3, 2))) as r(i) where len(w) > 0),
 sizes as (select doc_id, count(*) n from shingles group by doc_id),
