@@ -33,6 +33,8 @@ def text(page):
     ("<script>never closed <article>x</article>", ""),
     ("<article><article>in</article>out</article>no", "in\nout"),
     ("<p>a</p><!-- open", "a"),
+    ("<article class='post has-sidebar sharing'><p>yes</article><article class='comment'>no</article>", "yes"),
+    ("<div class='layout no-ads'><p>yes</p></div><div class='ad-box'>no</div>", "yes"),
 ])
 def test_structure(page, expected):
     assert text(page) == expected
