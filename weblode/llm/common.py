@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblode.scratch import scratch_dir, stage
+from weblode.scratch import remove, scratch_dir, stage
 
 __all__ = [
-    "arrow_batches", "blank", "fold", "mix64", "read_table", "scratch_dir", "slices",
+    "arrow_batches", "blank", "fold", "mix64", "read_table", "remove", "scratch_dir", "share_code", "slices",
     "stage", "text_buffer",
 ]
 
@@ -20,12 +22,23 @@ __all__ = [
 STEP_BYTES = 2 << 20
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers on this machine, or on machines with the package at
+    the same path, import it; otherwise it is shipped by ``--py-files``."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_code(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound the rows, and so the memory, of one Arrow batch of whole texts."""
+    share_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblode.llm.common import mix64, read_table, stage
+from weblode.llm.common import mix64, read_table, share_code, stage
 from weblode.llm.components import components
 
 NAME = "op9_embeddings"
@@ -210,6 +210,7 @@ def link_embeddings(
     table gives an empty table.
     """
     spark = vectors.sparkSession
+    share_code(spark)
     rows = stage(
         vectors.select(F.col(f"`{key}`").alias("key"), F.col(f"`{embedding}`").cast("array<double>").alias("embedding"))
         .withColumn("row", F.monotonically_increasing_id())
