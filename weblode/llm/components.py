@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weblode.llm.common import stage
+from weblode.llm.common import remove, scratch_dir, stage
 
 MAX_ROUNDS = 60
 
@@ -20,15 +20,19 @@ def components(links: DataFrame) -> DataFrame:
     Each round is written to the shared scratch folder. Null ends and links of
     a node to itself count for nothing; an empty table gives an empty result.
     """
+    spark, place = links.sparkSession, scratch_dir(links.sparkSession)
     edges = stage(
         links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
         .where("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
+        .distinct(),
+        place,
     )
     before = None
     for _ in range(MAX_ROUNDS):
-        edges = stage(_small_star(_large_star(edges)))
+        last, place = place, scratch_dir(spark)
+        edges = stage(_small_star(_large_star(edges)), place)
+        remove(spark, last)
         now = edges.agg(
             F.count(F.lit(1)).alias("n"), F.sum((F.xxhash64("a", "b") % 1_000_003)).alias("h")
         ).first()

@@ -11,7 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblode.llm.common import arrow_batches, blank, mix64, read_table, slices, stage, text_buffer
+from weblode.llm.common import (
+    arrow_batches, blank, mix64, read_table, remove, scratch_dir, slices, stage, text_buffer,
+)
 from weblode.llm.components import components
 from weblode.llm.words import SPACED, find_words, hash_words
 
@@ -25,8 +27,8 @@ SHINGLE = 5
 FREQUENT = 24
 #: Rows of a tile that one task compares at a time; larger tiles are dealt out.
 TILE = 2048
-#: In tiles of up to so many rows, pairs come first and signatures later, once
-#: for each pair: two sets with a passage in common share many small tiles.
+#: Of up to so many sets with a shingle, pairs come first, bands and signatures
+#: later, once for each pair: sets with a passage in common share many shingles.
 SMALL = 8
 #: Shingles of one local count of frequent ones.
 COUNT_BLOCK = 4 << 20
@@ -346,8 +348,11 @@ def _exact_links(words: DataFrame, pairs: DataFrame) -> DataFrame:
     candidates = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
     sent = words.sparkSession.sparkContext.broadcast(_bloom(candidates))
     sets = words.select("text").mapInArrow(_sets(sent), "set long, hashes binary")
-    sets = stage(sets.join(candidates, "set", "left_semi").dropDuplicates(["set"]))
-    return stage(_with_sets(pairs, sets, ("hashes",)).mapInArrow(_exact, "a long, b long"))
+    place = scratch_dir(words.sparkSession)
+    sets = stage(sets.join(candidates, "set", "left_semi").dropDuplicates(["set"]), place)
+    links = stage(_with_sets(pairs, sets, ("hashes",)).mapInArrow(_exact, "a long, b long"))
+    remove(words.sparkSession, place)
+    return links
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,16 +371,16 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of small tiles, by sizes alone. Rows are sorted by tile, so a
-    partner is at most ``SMALL`` - 1 rows further on."""
-    for groups in _whole_groups(batches, ["shingle", "band"], apart=False):
-        shingle, band, of, n, most, home, component = (
-            groups[0][c].to_numpy() for c in ("shingle", "band", "set", "n", "reach", "home", "component"))
+    """Pairs of sets of a few that share a shingle, by sizes alone. Rows are
+    sorted by shingle, so a partner is at most ``SMALL`` - 1 rows further on."""
+    for groups in _whole_groups(batches, ["shingle"], apart=False):
+        shingle, of, n, most, component = (
+            groups[0][c].to_numpy() for c in ("shingle", "set", "n", "reach", "component"))
         first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for by in range(1, min(SMALL, len(of))):
             i, j = slice(None, -by), slice(by, None)
-            fit = (shingle[i] == shingle[j]) & (band[i] == band[j]) & (component[i] != component[j])
-            fit &= (n[j] <= most[i]) & (n[i] <= most[j]) & (home[i] | home[j])
+            fit = (shingle[i] == shingle[j]) & (component[i] != component[j])
+            fit &= (n[j] <= most[i]) & (n[i] <= most[j])
             first.append(of[i][fit])
             second.append(of[j][fit])
         a, b = np.concatenate(first), np.concatenate(second)
@@ -419,16 +424,15 @@ def _open(rows: DataFrame, keys: list[str]) -> DataFrame:
     return found.where("reach >= smallest").drop("smallest")
 
 
-def _residual(members: DataFrame, signs: DataFrame) -> DataFrame:
+def _residual(apart: DataFrame, signs: DataFrame) -> DataFrame:
     """Pairs across components that signatures allow. A tile of many rows is
     dealt out by pairs of its parts, so a task holds two parts at most."""
-    tile = ["shingle", "band"]
     small = (
-        members.where(F.col("rows") <= SMALL).drop("rows").repartition(*tile).sortWithinPartitions(*tile)
+        apart.where(F.col("rows") <= SMALL).drop("rows").repartition("shingle").sortWithinPartitions("shingle")
         .mapInArrow(_paired, "a long, b long").distinct()
     )
     small = _with_sets(small, signs, ("bits", "n")).mapInArrow(_bounded, "a long, b long")
-    members = members.where(F.col("rows") > SMALL)
+    members = _open(_members(apart.where(F.col("rows") > SMALL).drop("rows")), ["shingle", "band"])
     parts = F.greatest(F.ceil(F.col("rows") / TILE), F.lit(1)).cast("int")
     part = F.pmod(F.xxhash64("set"), parts).cast("int")
     dealt = (
@@ -491,18 +495,21 @@ def _links(spark: SparkSession, words: DataFrame, profile: DataFrame) -> DataFra
     frequent = spark.sparkContext.broadcast(_bloom(often))
     schema = "shingle long, set long, n long, reach long"
     postings = words.select("text").mapInArrow(_postings(frequent), schema)
+    tiles_place = scratch_dir(spark)
     tiles = stage(
         postings.repartition("shingle").sortWithinPartitions("shingle", "set")
-        .mapInArrow(_shared, schema))
+        .mapInArrow(_shared, schema), tiles_place)
     signs = stage(profile.where("bits is not null").select(
         F.col("value").alias("set"), "n", "bits").dropDuplicates(["set"]))
     near = stage(_with_sets(_stars(tiles), signs, ("bits", "n")).mapInArrow(_bounded, "a long, b long"))
     links = _exact_links(words, near)
     labels = components(links).withColumnRenamed("node", "set")
     labelled = tiles.join(labels, "set", "left").withColumn("component", F.coalesce("component", "set"))
-    apart = _members(_open(labelled, ["shingle"]).drop("rows"))
-    apart = stage(_open(apart, ["shingle", "band"]))
+    place = scratch_dir(spark)
+    apart = stage(_open(labelled, ["shingle"]), place)
+    remove(spark, tiles_place)
     rest = stage(_residual(apart, signs).join(near, ["a", "b"], "left_anti"))
+    remove(spark, place)
     return links.unionByName(_exact_links(words, rest)) if rest.head(1) else links
 
 
