@@ -75,6 +75,15 @@ def test_scan(spark):
     assert added[2] == [] and [s["kind"] for s in added[1]] == ["crf"]
 
 
+def test_hex_behind_a_text_that_ends_in_hex(spark):
+    sha = "0123456789abcdef" * 2 + "01234567"
+    rows = [(0, "see the code"), (1, sha), (2, ""), (3, sha + " b"), (4, "abc" * 4), (5, "abc" * 4), (6, "é" + sha)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["secrets"] for r in op.find_secrets(df, op.learn(df.limit(1))).collect()}
+    found = {k: [(s["start"], s["end"]) for s in v if s["kind"] == "hex"] for k, v in got.items()}
+    assert found == {0: [], 1: [(0, 40)], 2: [], 3: [(0, 40)], 4: [], 5: [], 6: [(1, 41)]}
+
+
 def test_nothing_to_learn(spark):
     df = spark.createDataFrame([(1, "plain words only"), (2, None)], "doc_id long, text string")
     assert [r["secrets"] for r in op.find_secrets(df, op.learn(df)).collect()] == [[], []]

@@ -322,13 +322,13 @@ def _scan(sent):
 
 def _spans(raw: np.ndarray, at: np.ndarray, texts: pa.Array, field: Field) -> list[list[tuple[int, int, str]]]:
     n = len(at) - 1
-    hexes = np.zeros(len(raw) + 2, np.int8)
-    hexes[1:-1] = _HEX[raw]
-    edges = np.flatnonzero(np.diff(hexes))
-    runs = edges[::2][edges[1::2] - edges[::2] >= 24]
+    # runs of hex signs, cut where a text begins
+    hexes, heads = _HEX[raw], np.zeros(len(raw) + 1, bool)
+    heads[at] = True
+    starts = np.flatnonzero(hexes & (heads[:-1] | ~np.r_[False, hexes[:-1]]))
+    stops = np.flatnonzero(hexes & (heads[1:] | ~np.r_[hexes[1:], False])) + 1
     long_hex = np.zeros(n, bool)
-    long_hex[np.searchsorted(at, runs, side="right") - 1] = True
-    # a run over the end of a text may be two short ones; the pattern decides
+    long_hex[np.searchsorted(at, starts[stops - starts >= 24], side="right") - 1] = True
     signs = np.zeros(len(raw) + 1, np.int32)
     np.cumsum((raw == 58) | (raw == 61), out=signs[1:])
     maybe = long_hex | (signs[at[1:]] > signs[at[:-1]])
