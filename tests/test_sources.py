@@ -65,6 +65,15 @@ def test_packing_by_folders_gives_the_same_pages(spark, crawl, tmp_path):
     assert packed_pages == dict(rows(read_crawl(spark, str(crawl))))
 
 
+def test_packing_takes_pages_that_lie_in_the_root(spark, crawl, tmp_path):
+    for name in ("about.html", "new?a.html", "newxa.html", "index.html", "_own.html", ".own.html", "_a=b.html"):
+        put(crawl, name, f"<body>{name}".encode())
+    pack_crawl(spark, str(crawl), str(tmp_path / "pages"), folders=2)
+    packed = rows(spark.read.parquet(str(tmp_path / "pages")))
+    assert sorted(packed) == sorted(rows(read_crawl(spark, str(crawl))))
+    assert "<body>about.html" in [html for _, html in packed]
+
+
 def test_unreadable_file_is_skipped(spark, crawl):
     put(crawl, "b.org/broken.html.gz", gzip.compress(os.urandom(5000))[:3000])
     assert [f.rsplit("/", 1)[1] for (f,) in rows(skipped_files(spark, str(crawl)))] == ["broken.html.gz"]

@@ -77,13 +77,17 @@ def skipped_files(spark: SparkSession, root: str) -> DataFrame:
 def pack_crawl(spark: SparkSession, root: str, out: str, folders: int = 1000) -> None:
     """Write the pages below ``root`` as a parquet table ``(url, html)``, a
     slice of top-level folders (hosts) at a time, so that the driver never
-    lists more than the files of ``folders`` hosts."""
+    lists more than the files of ``folders`` hosts; files directly in ``root``
+    come in slices of as many."""
     prefix = _prefix(root)
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    names = sorted(e.getPath().toString() for e in entries if e.isDirectory())
+    # reading takes paths for patterns, so what has a meaning there is escaped
+    names = [(e.isDirectory(), re.sub(r"([\\*?\[\]{}])", r"\\\1", e.getPath().toString())) for e in entries]
     schema = "url string, html string"
     spark.createDataFrame([], schema).write.parquet(out)
-    for low in range(0, len(names), folders):
-        files = _files(spark, names[low : low + folders])
-        _pages(files, prefix).write.mode("append").parquet(out)
+    for folder in (True, False):
+        own = sorted(name for is_folder, name in names if is_folder == folder)
+        for low in range(0, len(own), folders):
+            files = _files(spark, own[low : low + folders])
+            _pages(files, prefix).write.mode("append").parquet(out)
