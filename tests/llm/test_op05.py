@@ -82,6 +82,16 @@ def test_against_brute_force(spark, monkeypatch):
     assert sorted(map(repr, again)) == sorted(map(repr, got))
 
 
+def test_items_without_a_name(spark):
+    items = [(None, " ".join(f"n{k}" for k in range(9))), (None, "x y z"), (None, None), (7, "p q r")]
+    documents = [(1, f"a {items[0][1]} b"), (2, "x y z p q r"), (3, "a b c"), (4, "p q r")]
+    for pass_words in (1000, 4):
+        got = {r["doc_id"]: r for r in run(spark, documents, items, pass_words=pass_words)}
+        assert {k: (r["n_hit"], r["items"], r["contaminated"]) for k, r in got.items()} == {
+            1: (9, [], True), 2: (6, ["7"], True), 3: (0, [], False), 4: (3, ["7"], True)}
+        assert [tuple(s) for s in got[1]["spans"]] == [(2, 28)]
+
+
 def test_empty(spark):
     assert run(spark, [], [(1, "a b")]) == []
     assert [(r["n_words"], r["n_hit"], r["contaminated"]) for r in run(spark, [(1, "a b c")], [])] == [(3, 0, False)]

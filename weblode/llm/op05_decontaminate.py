@@ -142,7 +142,7 @@ class FMIndex:
 class Phrases:
     """The distinct windows of some items, as word hashes, and their items."""
 
-    def __init__(self, items: list[tuple[str, str | None]]) -> None:
+    def __init__(self, items: list[tuple[str | None, str | None]]) -> None:
         raw, at = text_buffer(pa.array([t for _, t in items], pa.string()))
         words = find_words(raw, at, ALNUM)
         hashes = hash_words(raw, words.start, words.end)
@@ -212,6 +212,7 @@ def _shard(raw: np.ndarray, at: np.ndarray, phrases: Phrases, ranges: pa.Array,
     for r in range(len(at) - 1):
         if len(items[r]):
             found[r] = set(items[r].as_py())
+        if len(ranges[r]):
             pairs = words.first[r] + np.array(ranges[r].as_py())
             np.add.at(change, pairs[::2], 1)
             np.add.at(change, pairs[1::2], -1)
@@ -249,7 +250,8 @@ def _mark(sequence, origin, row, phrases: Phrases, change: np.ndarray, found: di
     np.add.at(change, position + np.repeat(size, counts), -1)
     pairs = np.unique(np.stack([row[position], window]), axis=1)
     for text, k in pairs.T.tolist():
-        found.setdefault(text, set()).update(phrases.names[i] for i in phrases.items[k])
+        found.setdefault(text, set()).update(
+            phrases.names[i] for i in phrases.items[k] if phrases.names[i] is not None)
 
 
 def _runs(hit: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -316,20 +318,20 @@ def find_contamination(
 
     Null and empty texts have no words and no hits; items without words have
     no phrases; rows with equal or null keys are documents of their own, items
-    with equal names count as one; null item names are ignored. Other columns
-    are not read. An empty table gives an empty table.
+    with equal names count as one; items without a name count for hits and
+    spans and are left out of ``items`` only. Other columns are not read. An
+    empty table gives an empty table.
     """
     spark = documents.sparkSession
     arrow_batches(spark)
     items = benchmark.select(F.col(f"`{item}`").cast("string").alias("name"), F.col(f"`{item_text}`").alias("text"))
-    items = items.where("name is not null")
     words = items.agg(F.sum(F.size(F.split("text", "[^A-Za-z0-9\\x{80}-\\x{10FFFF}]+")))).first()[0] or 0
     passes = -(-words // pass_words) or 1
     rows = documents.select(F.col(f"`{key}`").alias("row"), F.col(f"`{text}`").alias("text"))
     found = rows.select("row", "text", F.expr("cast(array() as array<long>)").alias("ranges"),
                         F.expr("cast(array() as array<string>)").alias("items"))
     for k in range(passes):
-        own = items.where(F.pmod(F.xxhash64("name"), F.lit(passes)) == k).orderBy("name", "text").collect()
+        own = items.where(F.pmod(F.xxhash64(F.coalesce("name", "text")), F.lit(passes)) == k).orderBy("name", "text").collect()
         sent = spark.sparkContext.broadcast(Phrases([(r["name"], r["text"]) for r in own]))
         last = k == passes - 1
         found = found.mapInArrow(_search(sent, last), _OUT if last else _CARRY)
