@@ -18,14 +18,15 @@ from weblode.llm import (
     op08_toxicity,
     op09_embeddings,
     op10_pii,
+    op11_conversations,
     op12_merkle,
     op13_warc,
 )
 
 _MODULES = (
     op01_repair, op02_jaccard, op03_secrets, op04_mixing, op05_decontaminate, op06_html, op07_language,
-    op08_toxicity, op09_embeddings, op10_pii, op12_merkle,
-    op13_warc,
+    op08_toxicity, op09_embeddings, op10_pii, op11_conversations,
+    op12_merkle, op13_warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {m.NAME: m.query for m in _MODULES}
