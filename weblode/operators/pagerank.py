@@ -4,19 +4,28 @@ Rank of a page without links is not passed on, so ranks sum to the number of
 nodes only when every node has a link.
 
 Two tables drive the loop. ``links(src, dst)`` is laid out by source once and
-stays put: ids are 16 bytes instead of whole URLs, and sources with more than
-``LINKS_PER_SLOT`` links, if there are any, are cut into slots so that no
-partition holds all of one. ``state(id, out_degree, slots, rank)`` has a row
+stays put, as a bucketed table on shared storage: ids are 16 bytes instead of
+whole URLs, and sources with more than ``LINKS_PER_SLOT`` links, if there are any,
+are cut into slots so that no partition holds all of one. It is cached too, but
+nothing depends on that: what a lost executor held is read again, bucket by
+bucket, without a shuffle. ``state(id, out_degree, slots, rank)`` has a row
 per node and is rewritten every step. A step shuffles one share per source to
 the links, and what the targets receive, summed per target on the map side
 first, so that a target of everybody's links is no burden.
+
+With a folder for its state, a run notes every step it has made there, and one
+that was broken off goes on after the last of them, in a new session too.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weblode.files import Files
 from weblode.functions.urls import website_id
 from weblode.operators.skew import assign_slots, slots_needed
 from weblode.scratch import remove, scratch_dir, stage
@@ -76,20 +85,47 @@ def layout(links: DataFrame) -> list[str]:
     return [c for c in ("src", "slot") if c in links.columns]
 
 
-def lay_out(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Persisted links, partitioned and sorted so that no step has to shuffle
-    them; lost partitions are read again from ``edges``. Filling the cache here
-    lets the steps rely on its partitioning."""
+def write_links(edges: DataFrame, nodes: DataFrame, path: str) -> dict:
+    """Write the links as a table of buckets of their sources, so that no step
+    has to shuffle them. Returns what it takes to read them again."""
     n_links, n_heavy = nodes.agg(
         F.coalesce(F.sum("out_degree"), F.lit(0)), F.count_if(F.col("slots") > 1)
     ).first()
-    partitions = max(
+    buckets = max(
         int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")),
         -(-n_links // LINKS_PER_PARTITION),
     )
     links = rank_links(edges, nodes, n_heavy)
-    keys = layout(links)
-    links = links.repartition(partitions, *keys).sortWithinPartitions(*keys).persist()
+    keys, name = layout(links), _table_name()
+    bucketed = links.repartition(buckets, *keys).sortWithinPartitions(*keys).write.mode("overwrite")
+    bucketed.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    edges.sparkSession.sql(f"DROP TABLE {name}")  # an external one: its files stay
+    return {"columns": {c: t for c, t in links.dtypes}, "keys": keys, "buckets": buckets}
+
+
+def _table_name() -> str:
+    return f"weblode_links_{uuid4().hex}"
+
+
+def read_links(spark: SparkSession, path: str, links: dict) -> tuple[DataFrame, str]:
+    """The links that ``write_links`` wrote, sorted within their buckets, and the
+    name of the table that says how they are laid out, which the caller drops."""
+    name, keys = _table_name(), ", ".join(links["keys"])
+    columns = ", ".join(f"{c} {t}" for c, t in links["columns"].items())
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) INTO {links['buckets']} BUCKETS "
+        f"LOCATION '{path}'"
+    )
+    return spark.table(name).sortWithinPartitions(*links["keys"]), name
+
+
+def lay_out(edges: DataFrame, nodes: DataFrame, path: str | None = None) -> DataFrame:
+    """Links as ``write_links`` writes them, cached. Filling the cache here lets
+    the steps rely on its partitioning."""
+    spark = edges.sparkSession
+    path = path or scratch_dir(spark)
+    links, _ = read_links(spark, path, write_links(edges, nodes, path))
+    links = links.persist()
     links.count()
     return links
 
@@ -123,35 +159,103 @@ def pagerank_step(links: DataFrame, state: DataFrame, damping: float = DAMPING)
     return renewed.select("id", "out_degree", "slots", rank.alias("rank"))
 
 
+def _fingerprint(edges: DataFrame, initial: DataFrame | None, *settings: object) -> str:
+    """Tells runs over other links, ranks or settings apart."""
+    parts = [list(settings)]
+    for rows, columns in ((edges, ("src", "dst")), (initial, ("url", "rank"))):
+        if rows is not None:
+            parts.append(list(rows.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*columns))).first()))
+    return json.dumps(parts)
+
+
+class _Steps:
+    """The nodes, links and states of a run below one folder. States alternate
+    between two places: one is read while the other is replaced. After each
+    step a note with its number is put beside them, by a rename."""
+
+    def __init__(self, spark: SparkSession, root: str, run: str | None):
+        self.spark, self.root, self.run, self.files = spark, root, run, Files(spark, root)
+        self.links: dict = {}
+
+    def _note(self, step: int) -> str:
+        return f"{self.root}/step-{step:06d}.json"
+
+    def place(self, step: int) -> str:
+        return f"{self.root}/state-{step % 2}"
+
+    def last(self, most: int) -> int | None:
+        """The last step of this run, if it is noted and not beyond ``most``."""
+        if self.run is None or not self.files.exists(self.root):
+            return None
+        names = sorted(name for name, _ in self.files.names(self.root) if name.startswith("step-") and name.endswith(".json"))
+        for name in reversed(names):
+            note = json.loads(self.files.read(self.spark, f"{self.root}/{name}"))
+            if note["run"] == self.run and note["step"] <= most:
+                self.links = note["links"]
+                return note["step"]
+        return None
+
+    def note(self, step: int) -> None:
+        if self.run is not None:
+            draft = f"{self.root}/draft-{uuid4().hex}"
+            self.files.write(draft, json.dumps({"run": self.run, "step": step, "links": self.links}))
+            self.files.rename(draft, self._note(step))
+
+    def forget(self, step: int) -> None:
+        """Before the state of a step is replaced."""
+        if self.run is not None:
+            self.files.delete(self._note(step))
+
+
 def page_rank(
     edges: DataFrame,
     iterations: int = ITERATIONS,
     damping: float = DAMPING,
     initial: DataFrame | None = None,
     links_per_slot: int = LINKS_PER_SLOT,
+    state: str | None = None,
 ) -> DataFrame:
     """Ranks ``(url, rank)`` after a fixed number of steps.
 
-    Each row of ``edges(src, dst)`` is one link. The edges are read twice;
-    pass a stored table. ``initial(url, rank)`` resumes from earlier ranks.
-    With no step, only nodes with an initial rank are returned.
+    Each row of ``edges(src, dst)`` is one link. The edges are read twice, and
+    once more with ``state``; pass a stored table. ``initial(url, rank)`` resumes
+    from earlier ranks. With no step, only nodes with an initial rank are returned.
+
+    ``state`` names a folder in which the run keeps its state. If a run over
+    the same links with the same settings has left some there, it goes on from
+    there, be it after a failure or to make more steps; other contents are
+    replaced. The caller deletes the folder.
     """
     if iterations < 0:
         raise ValueError(f"iterations must not be negative: {iterations}")
     spark = edges.sparkSession
-    # Nodes, and two states: steps alternate between the last two, one is read
-    # while the other is replaced, so the disk holds two however many steps.
-    places = [scratch_dir(spark) for _ in range(3)]
-    nodes = stage(rank_nodes(edges, initial, links_per_slot), places[0])
-    state = nodes.drop("url")
-    if iterations:
-        links = lay_out(edges, nodes)
+    run = _fingerprint(edges, initial, damping, links_per_slot) if state else None
+    steps = _Steps(spark, state or scratch_dir(spark), run)
+    done = steps.last(iterations)
+    if done is None:
+        remove(spark, steps.root)
+        nodes = stage(rank_nodes(edges, initial, links_per_slot), f"{steps.root}/nodes")
+        now, done = nodes.drop("url"), 0
+        if iterations:
+            steps.links = write_links(edges, nodes, f"{steps.root}/links")
+            steps.note(0)
+    else:
+        nodes = spark.read.parquet(f"{steps.root}/nodes")
+        now = spark.read.parquet(steps.place(done)) if done else nodes.drop("url")
+    if done < iterations:
+        links, table = read_links(spark, f"{steps.root}/links", steps.links)
+        links = links.persist()
+        links.count()  # the steps can rely on the partitioning of a filled cache
         try:
-            for i in range(iterations):
-                state = stage(pagerank_step(links, state, damping), places[1 + i % 2])
+            for step in range(done + 1, iterations + 1):
+                steps.forget(step - 2)
+                now = stage(pagerank_step(links, now, damping), steps.place(step))
+                steps.note(step)
         finally:
             links.unpersist()
-    ranks = nodes.select("id", "url").join(state.select("id", "rank"), "id")
+            spark.sql(f"DROP TABLE {table}")
+    ranks = nodes.select("id", "url").join(now.select("id", "rank"), "id")
     ranks = stage(ranks.where(F.col("rank").isNotNull()).select("url", "rank"))
-    remove(spark, *places)
+    if not state:
+        remove(spark, steps.root)
     return ranks

@@ -1,4 +1,4 @@
-"""Row numbers within groups of any size."""
+"""Row numbers, and the first rows, of groups of any size."""
 
 from __future__ import annotations
 
@@ -29,3 +29,22 @@ def row_numbers(df: DataFrame, keys: list[str], order: list[Column]) -> DataFram
         .withColumn("n", F.col("n") + F.col("offset"))
         .drop("range", "offset")
     )
+
+
+def first_rows(
+    df: DataFrame, keys: list[str], order: list[Column], most: int, spread_by: str | None = None, parts: int = 64
+) -> DataFrame:
+    """Rows numbered up to ``most`` within ``keys`` by ``order``, with their number ``n``.
+
+    Every task keeps the ``most`` first rows of a group before anything is
+    shuffled (Spark limits groups early as long as ``most`` is at most
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, 1,000 by default). With
+    ``spread_by``, what the tasks keep of one group goes to ``parts`` tasks
+    first, so that a group all tasks have rows of is no burden for the last one.
+    """
+    if spread_by:
+        part = F.pmod(F.xxhash64(spread_by), F.lit(parts))
+        df = df.withColumn("part", part)
+        own = F.row_number().over(Window.partitionBy(*keys, "part").orderBy(*order))
+        df = df.withColumn("n", own).where(F.col("n") <= most).drop("n", "part")
+    return df.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("n") <= most)

@@ -189,6 +189,11 @@ _JSON = f"""
         || coalesce(',"pagerank":' || pagerank, '') || '}}' from found
     union all select count(*) + 1, ']}}' from found
 """
+_MERGED = """
+    select c_custkey, case when c_custkey % 3 = 0 then lower(c_name) else c_name end as c_name, c_nationkey
+    from customer
+    union all select c_custkey + 10000000, c_name, null from customer where c_custkey % 7 = 0
+"""
 _TERM_COUNT_ROWS = _over(_INDEX, "select * from term_counts")
 _EDGE_ROWS = _over(_GRAPH, "select * from edges")
 _ONE_STEP = _over(_GRAPH, _ROUNDED_RANKS, **_rank_ctes(1))
@@ -254,6 +259,7 @@ ORACLE = {
     "pagerank_cyclic": _PART_RANKS,
     "pagerank_dangling": _DANGLING_RANKS,
     "pagerank_resumed": _DANGLING_RANKS,
+    "pagerank_restarted": _PART_RANKS,
     "websites": _over(
         _INDEX, f"select {_ID} as website_id, url from (select distinct url from term_counts)"
     ),
@@ -278,10 +284,17 @@ ORACLE = {
                 then 'own-' || t.url else {_ID.replace("url", "t.url")} end as website_id
             from term_counts t""",
     ),
-    "store_merged": """
-        select c_custkey, case when c_custkey % 3 = 0 then lower(c_name) else c_name end as c_name, c_nationkey
-        from customer
-        union all select c_custkey + 10000000, c_name, null from customer where c_custkey % 7 = 0""",
+    "store_merged": _MERGED,
+    "store_merged_in_place": _MERGED,
+    "crawl_roundtrip": _with(
+        {
+            "pages": f"""select split_part({_SELF}, '/', 1) || '/' || page_id || '.html' as url, html
+                from pages where html is not null""",
+            **{n: _CTES[n] for n in _INDEX + _GRAPH},
+            **_rank_ctes(STEPS),
+        },
+        "select t.word, t.url, t.count, round(r.rank, 6) as rank from term_counts t left join ranks r using (url)",
+    ),
     "search_word": _search(10),
     "search_all_limit": _search(None),
     "search_stored": _search(25),
@@ -289,6 +302,8 @@ ORACLE = {
     "search_linked": _search_linked(None),
     "search_linked_limit": _search_linked(50),
     "search_batch_linked": _with(_LINKED, _BATCH),
+    "search_top": _search_linked(50),
+    "search_batch_top": _with(_LINKED, _BATCH),
     "search_batch_counts": _over(
         _INDEX,
         """select word as query_id, count(*) as hits from term_counts group by word

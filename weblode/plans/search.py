@@ -3,6 +3,10 @@
 Pages of equal score are ordered by website id, as a keyed store returns them.
 That lets the cut to the top rows come before the join that adds their URLs.
 Rows carry their ``position`` from 1, whatever the limit.
+
+How many rows a search reads follows from its limit: the best pages of heavy
+words are stored in order, and of other words there are few postings. Only
+limits above ``BEST_ROWS`` read, rank and number all pages of a heavy word.
 """
 
 from __future__ import annotations
@@ -12,12 +16,13 @@ from pyspark.sql import functions as F
 
 from weblode.functions.limits import DEFAULT_LIMIT, resolve_limit, resolve_limits
 from weblode.functions.urls import bucket_of
-from weblode.operators.ranking import row_numbers
-from weblode.plans.store import Store
+from weblode.operators.ranking import first_rows, row_numbers
+from weblode.operators.skew import MAX_BROADCAST_KEYS
+from weblode.operators.scoring import best_first
+from weblode.operators.scoring import scored as _scored
+from weblode.plans.store import BEST_ROWS, HEAVY_POSTINGS, Store, heavy_words
 from weblode.scratch import stage
 
-# Fixed value.
-COUNT_CAP = 20
 # Largest table of hits or results that is broadcast; 100,000 ids take 8 MB.
 MAX_BROADCAST_ROWS = 100_000
 # Up to so many rows are picked by one task from the best of every task;
@@ -25,19 +30,6 @@ MAX_BROADCAST_ROWS = 100_000
 MAX_PICKED_ROWS = 1_000
 
 
-def capped_count(count: Column) -> Column:
-    return F.least(count, F.lit(COUNT_CAP))
-
-
-def score(rank: Column, count: Column) -> Column:
-    """Null for a page without a rank."""
-    return rank + capped_count(count) / F.lit(COUNT_CAP).cast("double")
-
-
-def _best_first() -> list[Column]:
-    return [F.col("score").desc_nulls_last(), F.col("website_id").asc()]
-
-
 def word_postings(store: Store, word: Column) -> DataFrame:
     """``(website_id, count)`` of one word. A stored index is read in the
     word's bucket only."""
@@ -47,16 +39,6 @@ def word_postings(store: Store, word: Column) -> DataFrame:
     return index.where(F.col("word") == word).select("website_id", "count")
 
 
-def _scored(hits: DataFrame, page_rank: DataFrame) -> DataFrame:
-    keys = ["bucket", "website_id"] if "bucket" in hits.columns else ["website_id"]
-    ranked = hits.join(page_rank.select(*keys, "value"), keys, "left")
-    return ranked.select(
-        *[c for c in hits.columns if c not in ("count", "bucket")],
-        F.col("value").alias("pagerank"),
-        score(F.col("value"), F.col("count")).alias("score"),
-    )
-
-
 def _placed(rows: DataFrame, store: Store) -> DataFrame:
     """Rows with the storage bucket of their website, if the store has any, so
     that joins by website read and join bucket by bucket."""
@@ -77,6 +59,18 @@ def _hits(store: Store, word: Column) -> tuple[DataFrame, Store]:
     return hits, store._replace(page_rank=near)
 
 
+def _best(store: Store, word: Column, n_rows: int | None) -> DataFrame | None:
+    """The first pages of a heavy word as they are stored, ``None`` if they are
+    not, or not so many. The filters on word and number reach the scan of one
+    bucket, which is sorted by them."""
+    if store.best is None or n_rows is None or n_rows > BEST_ROWS:
+        return None
+    of_word = store.best.where((F.col("bucket") == bucket_of(word, store.word_buckets)) & (F.col("word") == word))
+    if of_word.where("n = 1").isEmpty():
+        return None
+    return of_word.where(F.col("n") <= n_rows).select("website_id", "pagerank", "score", "n")
+
+
 def _with_url(rows: DataFrame, store: Store, few: bool) -> DataFrame:
     """Add ``url``, null if the website is not stored. The websites of a ``few``
     rows are filtered in place before the join."""
@@ -94,15 +88,17 @@ def search(
     n_rows = resolve_limit(limit)
     if word is None:
         n_rows = 0
-    hits, cut = _hits(store, F.lower(F.lit(word or "")))
-    scored = _scored(hits, cut.page_rank)
-    if n_rows is not None and n_rows <= MAX_PICKED_ROWS:
-        top = scored.orderBy(*_best_first()).limit(n_rows)
-        top = top.withColumn("n", F.row_number().over(Window.orderBy(*_best_first())))
-    else:
-        top = row_numbers(scored, [], _best_first())
-        if n_rows is not None:
-            top = top.where(F.col("n") <= n_rows)
+    top = _best(store, F.lower(F.lit(word or "")), n_rows)
+    if top is None:
+        hits, cut = _hits(store, F.lower(F.lit(word or "")))
+        rows = _scored(hits, cut.page_rank)
+        if n_rows is not None and n_rows <= MAX_PICKED_ROWS:
+            top = rows.orderBy(*best_first()).limit(n_rows)
+            top = top.withColumn("n", F.row_number().over(Window.orderBy(*best_first())))
+        else:
+            top = row_numbers(rows, [], best_first())
+            if n_rows is not None:
+                top = top.where(F.col("n") <= n_rows)
     few = n_rows is not None and n_rows <= MAX_BROADCAST_ROWS
     found = _with_url(top, store, few).orderBy("n")
     return found.select(F.col("n").cast("bigint").alias("position"), "url", "pagerank")
@@ -129,45 +125,86 @@ def search_json(
     return begin.unionByName(pages).unionByName(end).orderBy("position")
 
 
-def search_batch(store: Store, queries: DataFrame) -> DataFrame:
+def _bucketed_words(words: DataFrame, store: Store) -> DataFrame:
+    return words.withColumn("bucket", bucket_of(F.col("word"), store.word_buckets)) if store.word_buckets else words
+
+
+def _word_hits(store: Store, words: DataFrame) -> DataFrame:
+    """Scored hits of ``words(word, most)``."""
+    keys = [c for c in ("bucket", "word") if c in words.columns]
+    hits = _placed(store.inv_index.join(words, keys).drop("bucket"), store)
+    return _scored(hits, store.page_rank)
+
+
+def _numbered_words(store: Store, words: DataFrame, heavy_postings: int) -> list[DataFrame]:
+    """``(word, n, website_id, pagerank, score)`` with the first ``most`` pages
+    of ``words(word, most)``, all of them where that is null.
+
+    The words are told apart by how many pages they are on and how many are
+    asked for, and each kind that occurs is read by itself: a word with few
+    pages is numbered by one task, after every task has kept no more of it
+    than are asked for. Of a heavy one the best are stored, or kept by every task
+    and then by some; only if more are asked for its pages are numbered range
+    by range.
+    """
+    index_keys = [c for c in ("bucket", "word") if c in words.columns]
+    asked = words.select(*index_keys)
+    if words.count() <= MAX_BROADCAST_KEYS:
+        asked = F.broadcast(asked)
+    heavy = stage(heavy_words(store.inv_index.join(asked, index_keys, "left_semi"), heavy_postings))
+    words = stage(words.join(heavy.select("word", F.lit(True).alias("heavy")), "word", "left").select(
+        *words.columns, F.coalesce("heavy", F.lit(False)).alias("heavy"),
+        F.coalesce(F.col("most") <= BEST_ROWS, F.lit(False)).alias("limited")))
+    most = {(r["heavy"], r["limited"]): r["most"] for r in words.groupBy("heavy", "limited").agg(F.max("most").alias("most")).collect()}
+    found = []
+    for (is_heavy, limited), bound in most.items():
+        own = words.where((F.col("heavy") == is_heavy) & (F.col("limited") == limited)).drop("heavy", "limited")
+        if is_heavy and limited and store.best is not None:
+            rows = store.best.join(own, index_keys)
+        elif limited:
+            spread_by = "website_id" if is_heavy else None
+            rows = first_rows(_word_hits(store, own), ["word"], best_first(), bound, spread_by)
+        elif is_heavy:
+            rows = row_numbers(_word_hits(store, own), ["word"], best_first())
+        else:
+            number = F.row_number().over(Window.partitionBy("word").orderBy(*best_first()))
+            rows = _word_hits(store, own).withColumn("n", number)
+        rows = rows.where("most IS NULL OR n <= most")
+        found.append(rows.select("word", F.col("n").cast("bigint").alias("n"), "website_id", "pagerank", "score"))
+    return found
+
+
+def search_batch(store: Store, queries: DataFrame, heavy_postings: int = HEAVY_POSTINGS) -> DataFrame:
     """``(query_id, position, url, pagerank, score)`` for ``queries(query_id,
     word, limit)``.
 
-    The index is joined once with the distinct words, and pages of a word are
-    numbered once however many queries ask for it: range by range, so a word
-    on every page does not end up in one task, and with the same numbers for
-    limited queries and for those that ask for all.
+    Pages of a word are numbered once however many queries ask for it, and no
+    further than the largest limit asks. Words with more than
+    ``heavy_postings`` pages are numbered by many tasks; their best pages are
+    read where the store has them.
     """
     asked = stage(queries.select(
         "query_id", F.lower("word").alias("word"), resolve_limits(F.col("limit")).alias("k")
     ).where("word IS NOT NULL AND (k IS NULL OR k > 0)"))
-    words = asked.groupBy("word").agg(
-        F.when(F.count("*") == F.count("k"), F.max("k")).alias("most")
-    )
-    index, keys = store.inv_index, ["word"]
-    if store.word_buckets:
-        keys = ["bucket", "word"]
-        words = words.withColumn("bucket", bucket_of(F.col("word"), store.word_buckets))
-    hits = _placed(index.join(words, keys).drop("bucket"), store)
-    numbered = row_numbers(_scored(hits, store.page_rank), ["word"], _best_first())
-    winners = numbered.where("most IS NULL OR n <= most").drop("most")
+    words = stage(_bucketed_words(asked.groupBy("word").agg(
+        F.when(F.count("*") == F.count("k"), F.max("k")).alias("most")), store))
+    parts = _numbered_words(store, words, heavy_postings)
+    schema = "word string, n bigint, website_id string, pagerank double, score double"
+    winners = parts[0] if parts else asked.sparkSession.createDataFrame([], schema)
+    for part in parts[1:]:
+        winners = winners.unionByName(part)
     found = winners.join(asked, "word").where("k IS NULL OR n <= k")
     found = _with_url(found.drop("word", "k"), store, False)
-    return found.select(
-        "query_id", F.col("n").cast("bigint").alias("position"), "url", "pagerank", "score"
-    )
+    return found.select("query_id", F.col("n").alias("position"), "url", "pagerank", "score")
 
 
 def batch_counts(store: Store, queries: DataFrame) -> DataFrame:
     """``(query_id, hits)`` for ``queries(query_id, word)``: how many pages hold
     the word, 0 for an unknown or missing one."""
     asked = queries.select("query_id", F.lower("word").alias("word"))
-    index, keys = store.inv_index, ["word"]
-    words = asked.where("word IS NOT NULL").select("word").distinct()
-    if store.word_buckets:
-        keys = ["bucket", "word"]
-        words = words.withColumn("bucket", bucket_of(F.col("word"), store.word_buckets))
-    counts = index.join(words, keys).groupBy("word").agg(F.count("*").alias("hits"))
+    words = _bucketed_words(asked.where("word IS NOT NULL").select("word").distinct(), store)
+    keys = [c for c in ("bucket", "word") if c in words.columns]
+    counts = store.inv_index.join(words, keys).groupBy("word").agg(F.count("*").alias("hits"))
     return asked.join(counts, "word", "left").select(
         "query_id", F.coalesce("hits", F.lit(0)).alias("hits")
     )

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import gzip
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weblode.files import Files
 from weblode.functions.text import split_tokens, trim_token
 from weblode.functions.urls import (
     domain_of,
@@ -20,11 +27,14 @@ from weblode.operators.pagerank import page_rank
 from weblode.plans import pipeline, search, store
 from weblode.scratch import scratch_dir, stage
 from weblode.sources import keyed, packed
+from weblode.sources.crawl import BOILERPLATE, pack_crawl
 from weblode.sources.tables import read_documents, read_pages, spread
 
 STEPS = 10
 SHORT_LIST = 5
 SEARCH_WORD = "The"
+# Postings of a word that is heavy in these small tables.
+HEAVY = 20
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,17 +96,55 @@ def _stored(spark: SparkSession, sf_dir: str) -> store.Store:
     return store.read_store(spark, f"{out}/store")
 
 
-def _linked(spark: SparkSession, sf_dir: str) -> store.Store:
+def _linked(spark: SparkSession, sf_dir: str, heavy: int = store.HEAVY_POSTINGS) -> store.Store:
     """Documents under every third number as URL, ranked as the parts of these
     numbers: ranks differ, and numbers past the last part have none."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     numbered = spread(documents).select((F.col("doc_id") * 3).cast("string").alias("url"), "text")
     ranks = _ranks(_part_graph(spark, sf_dir)).withColumn("rank", F.round("rank", 9))
     path = scratch_dir(spark)
-    pipeline.load(path, stage(index.term_counts(numbered)), ranks)
+    pipeline.load(path, stage(index.term_counts(numbered)), ranks, heavy_postings=heavy)
     return store.read_store(spark, path)
 
 
+def _write_files(root: str):
+    """Writes rows ``(path, html)`` as files below ``root``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = pafs.FileSystem.from_uri(root)
+        for batch in batches:
+            for path, html in zip(batch["path"].to_pylist(), batch["html"].to_pylist(), strict=True):
+                system.create_dir(f"{base}/{path.rpartition('/')[0]}", recursive=True)
+                with system.open_output_stream(f"{base}/{path}", compression=None) as out:
+                    out.write(html.encode())
+            yield batch.select(["path"])
+
+    return run
+
+
+def _crawl(spark: SparkSession, sf_dir: str) -> str:
+    """The pages as crawled files ``host/id.html``, among what else a crawl leaves."""
+    root = re.sub("^file:/*", "file:///", Files(spark, scratch_dir(spark)).uri(scratch_dir(spark)))
+    pages = spread(spark.read.parquet(f"{sf_dir}/pages.parquet")).where("html IS NOT NULL")
+    path = F.concat(domain_of(self_url(F.col("url"))), F.lit("/"), "page_id", F.lit(".html"))
+    pages.select(path.alias("path"), "html").mapInArrow(_write_files(root), "path string").count()
+    more = [(name, "<body>no page</body>") for name in BOILERPLATE]
+    spark.createDataFrame(more, "path string, html string").mapInArrow(_write_files(root), "path string").count()
+    system, base = pafs.FileSystem.from_uri(root)
+    with system.open_output_stream(f"{base}/broken.gz", compression=None) as out:
+        out.write(gzip.compress(bytes(range(256)) * 40)[:-40])
+    return root
+
+
+def _as_reducer_files(spark: SparkSession, path: str) -> None:
+    """Give text files the names that reducers give them."""
+    files = Files(spark, path)
+    names = sorted(name for name, _ in files.names(path) if name.startswith("part-"))
+    for k, name in enumerate(names):
+        files.rename(f"{path}/{name}", f"{path}/part-r-{k:05d}")
+    files.write(f"{path}/part-m-00000", "left\ta.org/out|1\n")
+
+
 def body_text(spark, sf_dir):
     return index.page_text(_pages(spark, sf_dir))
 
@@ -289,14 +337,14 @@ def search_batch(spark, sf_dir):
     return _batch(_stored(spark, sf_dir))
 
 
-def _batch(tables: store.Store) -> DataFrame:
+def _batch(tables: store.Store, heavy: int = store.HEAVY_POSTINGS) -> DataFrame:
     size = F.length("word") % 4
     limit = F.when(size == 0, "0xA").when(size == 1, "3").when(size == 2, "0").otherwise("-1")
     asked = tables.inv_index.select("word").distinct()
     queries = asked.select(
         F.col("word").alias("query_id"), F.upper("word").alias("word"), limit.alias("limit")
     )
-    return _rounded(search.search_batch(tables, queries), "pagerank", "score")
+    return _rounded(search.search_batch(tables, queries, heavy), "pagerank", "score")
 
 
 def search_linked(spark, sf_dir):
@@ -311,6 +359,54 @@ def search_batch_linked(spark, sf_dir):
     return _batch(_linked(spark, sf_dir))
 
 
+def search_top(spark, sf_dir):
+    """The best pages of a heavy word, from where they are stored in order."""
+    return _rounded(search.search(_linked(spark, sf_dir, HEAVY), SEARCH_WORD, 50), "pagerank")
+
+
+def search_batch_top(spark, sf_dir):
+    """Most words of the batch are heavy: limited queries read stored rows."""
+    return _batch(_linked(spark, sf_dir, HEAVY), HEAVY)
+
+
+def crawl_roundtrip(spark, sf_dir):
+    """Crawled files, packed slice by slice; the jobs run one by one and then
+    both by force; postings go through text files; the halves of the store are
+    loaded by flags."""
+    packed_pages, out, text, path = (scratch_dir(spark) for _ in range(4))
+    pack_crawl(spark, _crawl(spark, sf_dir), packed_pages, folders=20, files=500)
+    pages = spark.read.parquet(packed_pages)
+    pipeline.run(pages.where("url < 'm'"), out, 1, skip=["page-rank"])
+    pipeline.run(pages.where("url < 'm'"), out, 1, skip=["inv-index"])
+    pipeline.run(pages, out, STEPS, force=True)
+    packed.write_packed_postings(spark.read.parquet(f"{out}/postings"), text)
+    _as_reducer_files(spark, text)
+    pipeline.load(path, packed.read_packed_postings(spark, text))
+    pipeline.load_run(spark, out, path, ["page-rank"])
+    tables = store.read_store(spark, path)
+    found = tables.inv_index.drop("bucket").join(tables.websites.drop("bucket"), "website_id")
+    found = found.join(tables.page_rank.drop("bucket"), "website_id", "left")
+    return _rounded(found.select("word", "url", "count", F.col("value").alias("rank")), "rank")
+
+
+def store_merged_in_place(spark, sf_dir):
+    """Rows set in a keyed table whose other buckets stay as they are."""
+    root = scratch_dir(spark)
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_nationkey")
+    keyed.create_bucketed(customers, root, "customers", ["c_custkey"], 16)
+    renamed = customers.where("c_custkey % 3 = 0").select("c_custkey", F.lower("c_name").alias("c_name"))
+    new = customers.where("c_custkey % 7 = 0").select((F.col("c_custkey") + 10_000_000).alias("c_custkey"), "c_name")
+    keyed.merge_bucketed(renamed.unionByName(new), root, "customers", ["c_custkey"], 16)
+    return keyed.read_bucketed(spark, root, "customers")
+
+
+def pagerank_restarted(spark, sf_dir):
+    """Half the steps, and then all from the state that these have left."""
+    graph, state = stage(_part_graph(spark, sf_dir)), scratch_dir(spark)
+    page_rank(graph, STEPS // 2, state=state)
+    return _rounded(page_rank(graph, STEPS, state=state), "rank")
+
+
 def search_batch_counts(spark, sf_dir):
     """How many pages hold each word, and words that no page holds."""
     postings = stage(term_counts(spark, sf_dir))
@@ -369,12 +465,15 @@ QUERIES = {
         pagerank_cyclic,
         pagerank_dangling,
         pagerank_resumed,
+        pagerank_restarted,
         websites,
         store_postings,
         store_ranks,
         store_words,
         store_appended,
         store_merged,
+        store_merged_in_place,
+        crawl_roundtrip,
         search_word,
         search_all_limit,
         search_stored,
@@ -382,6 +481,8 @@ QUERIES = {
         search_linked,
         search_linked_limit,
         search_batch_linked,
+        search_top,
+        search_batch_top,
         search_batch_counts,
         search_json,
         packed_postings_roundtrip,

@@ -1,12 +1,18 @@
 """Intermediate tables, written once so that later jobs do not depend on the
-executors that computed them."""
+executors that computed them, and who removes them."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths made since the innermost scope was opened, or nothing outside of all.
+_OPEN: ContextVar[list[str] | None] = ContextVar("open", default=None)
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``, or
@@ -14,7 +20,37 @@ def scratch_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{root.rstrip('/')}/weblode-{uuid4().hex}"
+        _check_shared(spark, root)
+    path = f"{root.rstrip('/')}/weblode-{uuid4().hex}"
+    made = _OPEN.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+def _check_shared(spark: SparkSession, root: str) -> None:
+    """A warehouse in a local folder is shared by nobody but a local master."""
+    master = spark.conf.get("spark.master", "local")
+    if root.startswith(("file:", "/")) and not master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {root} is a local one")
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Owns the scratch tables made inside and removes them at the end, however
+    that comes. Results that read them have to be written inside::
+
+        with scope(spark):
+            search_batch(store, queries).write.parquet(out)
+
+    Scopes may be nested; each removes its own."""
+    made: list[str] = []
+    token = _OPEN.set(made)
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        remove(spark, *made)
 
 
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weblode.functions.urls import bucket_of
+from weblode.scratch import scope, stage
+from weblode.sources.publish import Publication, publishing, settle
+
 
 class KeyCollision(ValueError):
     """A row with the same key is already there."""
@@ -67,3 +71,60 @@ def merge_rows(rows: DataFrame, path: str, keys: list[str], target: str) -> None
     if lacking:
         rows = rows.join(stored.select(*keys, *lacking), keys, "left")
     kept.unionByName(rows, allowMissingColumns=True).write.parquet(target)
+
+
+def create_bucketed(
+    rows: DataFrame, root: str, name: str, keys: list[str], buckets: int, max_records_per_file: int = 0
+) -> None:
+    """Write a new table ``name`` below ``root`` in folders by a hash of its
+    first key, so that merges can be made in place."""
+    spark = rows.sparkSession
+    check_unique(rows, keys)
+    rows = rows.withColumn("bucket", bucket_of(F.col(keys[0]), buckets))
+    with publishing(spark, root) as publication:
+        _write(_by_bucket(rows, keys), publication.place(name), max_records_per_file, ["bucket"], "errorifexists")
+
+
+def _by_bucket(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", *keys)
+
+
+def merged_parts(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """The buckets of ``stored`` that hold a key of ``rows``, with the rows set in
+    them: a known key takes the new values and keeps columns that ``rows``
+    lacks. Both have a column ``bucket``."""
+    unknown = [c for c in rows.columns if c not in stored.columns]
+    if unknown:
+        raise ValueError(f"columns the table does not have: {unknown}")
+    touched = [row["bucket"] for row in rows.select("bucket").distinct().collect()]  # as many as buckets at most
+    stored, keys = stored.where(F.col("bucket").isin(touched)), ["bucket", *keys]
+    kept = stored.join(rows.select(*keys), keys, "left_anti")
+    lacking = [c for c in stored.columns if c not in rows.columns]
+    if lacking:
+        rows = rows.join(stored.select(*keys, *lacking), keys, "left")
+    return kept.unionByName(rows.select(*stored.columns))
+
+
+def merge_bucketed(
+    rows: DataFrame, root: str, name: str, keys: list[str], buckets: int, max_records_per_file: int = 0
+) -> None:
+    """Set ``rows`` in a table of ``create_bucketed``, see ``merged_parts``. Only
+    buckets with a changed key are written again, and replaced together; the
+    files of all others stay. Rows may lack columns but have no new ones."""
+    spark = rows.sparkSession
+    with scope(spark), publishing(spark, root) as publication:
+        rows = stage(rows.withColumn("bucket", bucket_of(F.col(keys[0]), buckets)))
+        check_unique(rows, keys)
+        merged = merged_parts(rows, spark.read.parquet(f"{root}/{name}"), keys)
+        put_parts(merged, publication, name, keys, max_records_per_file)
+
+
+def put_parts(
+    merged: DataFrame, publication: Publication, name: str, keys: list[str], max_records_per_file: int = 0
+) -> None:
+    _write(_by_bucket(merged, keys), publication.place(name, "parts"), max_records_per_file, ["bucket"], "errorifexists")
+
+
+def read_bucketed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    settle(spark, root)
+    return spark.read.parquet(f"{root}/{name}").drop("bucket")
