@@ -78,3 +78,48 @@ def test_hot_hosts_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(op, "HOT_PAGES", 4)
     df = spark.createDataFrame([(k, f"http://hot/{k}", f"<p>page {k}") for k in range(40)], "page_id long, url string, html string")
     assert {r["page_id"]: r["text"] for r in op.extract(df).collect()} == {k: f"page {k}" for k in range(40)}
+
+
+def hosts(n, at, seed=0):
+    """Unmarked pages; every ``at``-th of the first host has a notice."""
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(3000)]
+    notice = "<div>please note that this offer ends on the last day of june</div>"
+    out = []
+    for k in range(n):
+        own = " ".join(rng.choices(words, k=25))
+        out.append((k, f"http://big.example/{k}", f"<p>{own}</p>{notice if k % at == 0 else ''}<p>end {k}</p>", f"{own}\nend {k}"))
+    return out
+
+
+def test_what_few_pages_of_a_large_host_share_goes_everywhere(spark):
+    """20 of 2,000 pages, in several partitionings."""
+    rows = hosts(2000, 100)
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    for parts in (1, 3, 40):
+        got = {r["page_id"]: r["text"] for r in op.extract(df.repartition(parts)).collect()}
+        assert got == {k: text for k, _, _, text in rows}, parts
+
+
+def test_counts_of_pieces_add_up_to_those_of_the_host(spark, monkeypatch):
+    rows = hosts(60, 10)
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    whole = [op._tokens([t for _, t in op.parse(r[2])]) for r in rows]
+    expected = [op.main_text(op.parse(r[2]), c) for r, c in zip(rows, op.repeated(whole), strict=True)]
+    monkeypatch.setattr(op, "MAX_BROADCAST_RUNS", 0)
+    got = {r["page_id"]: r["text"] for r in op.extract(df).collect()}
+    assert [got[k] for k in range(60)] == expected
+
+
+def test_without_the_suffix_arrays_notices_stay(spark):
+    rows = hosts(40, 5)
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    plain = [op.main_text(b := op.parse(r[2]), np.zeros(len(op._tokens([t for _, t in b])), bool)) for r in rows]
+    got = {r["page_id"]: r["text"] for r in op.extract(df).collect()}
+    assert [got[k] for k in range(40)] == [r[3] for r in rows] != plain
+
+
+def test_long_blocks_are_parts_of_articles(spark):
+    article = " ".join(f"a{k}" for k in range(op.LONG_BLOCK))
+    df = spark.createDataFrame([(k, f"http://h/{k}", f"<p>{article}</p><p>{k}</p>") for k in range(9)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in op.extract(df).collect()} == {k: f"{article}\n{k}" for k in range(9)}
