@@ -95,3 +95,51 @@ def test_sources_and_reruns(spark):
 
 def test_empty(spark):
     assert op.mix_by_source(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
+
+
+def test_the_query_goes_through_the_flow(spark, monkeypatch):
+    from conftest import SMALL
+
+    calls, own = [], op.route
+    monkeypatch.setattr(op, "route", lambda *a: calls.append(a) or own(*a))
+    op.query(spark, SMALL).collect()
+    sources = spark.read.parquet(f"{SMALL}/documents.parquet").select("source").distinct().count()
+    assert len(calls) == 1 and len(calls[0][0]) == len(calls[0][1]) == sources
+
+
+def test_documents_are_not_shuffled_by_pattern_alone(spark):
+    df = spark.range(5000).select("id", F.lit(3).alias("size"), F.array(F.concat(F.lit("s"), F.col("id") % 2)).alias("m"))
+    targets = spark.createDataFrame([("s0", 900.0), ("s1", 20000.0)], "source string, target double")
+    plan = op.mix(df, targets, "m", "size", "id")._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+    # one window of documents by pattern and range; by pattern alone only what is known of ranges
+    by_pattern = [k for k in keys if k.startswith("pattern#") and "range#" not in k.split(")")[0]]
+    assert plan.count("hashpartitioning(pattern") >= 1 and "row#" not in "".join(by_pattern)
+    above = plan[: plan.index("Window")]
+    assert "hashpartitioning(pattern#" not in above.replace("range#", "") or "range#" in above
+
+
+def test_input_columns_of_any_name_are_carried_through(spark):
+    names = ("pattern", "size", "place", "range", "words", "within", "before", "row", "parts", "_range", "name", "membership")
+    df = spark.range(40).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"), F.lit("a b c").alias("text"),
+        *[F.lit(f"keep {n}").alias(n) for n in names if n != "size"])
+    rows = op.mix_by_source(df).collect()
+    assert len(rows) == 40 and all(r[n] == f"keep {n}" for r in rows for n in names if n != "size")
+    other = df.withColumnRenamed("name", "size").withColumn("n", F.lit(2)).withColumn("m", F.array("source"))
+    targets = spark.createDataFrame([("s0", 9.0)], "source string, target double")
+    assert {r["size"] for r in op.mix(other, targets, "m", "n", "doc_id").collect()} == {"keep name"}
+
+
+def test_more_patterns_than_the_driver_routes(spark, monkeypatch):
+    """Patterns that share nothing are left out of the flow; the mix is the same."""
+    rows = [(k, 7, [f"s{k % 9}"]) for k in range(90)] + [(k, 5, ["x"] if k % 2 else ["x", "y"]) for k in range(90, 130)]
+    df = spark.createDataFrame(rows, "id long, size long, m array<string>")
+    targets = spark.createDataFrame([(f"s{k}", 20.0 * k) for k in range(9)] + [("x", 150.0), ("y", 70.5)], "source string, target double")
+    run = lambda: sorted((r["id"], r["taken"], *r["taken_for"]) for r in op.mix(df, targets, "m", "size", "id").collect())
+    whole = run()
+    monkeypatch.setattr(op, "MAX_PATTERNS", 3)
+    assert run() == whole
+    monkeypatch.setattr(op, "MAX_PATTERNS", 1)
+    with pytest.raises(ValueError, match="overlapping"):
+        run()

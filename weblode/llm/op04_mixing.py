@@ -17,7 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Fixed values of the contract: weights in turn, share of all words, repeats.
 WEIGHTS, SHARE, REPEATS = (5, 2, 1), 1.5, 2
 SEED = "mix-1"
-#: Overlapping patterns that the driver routes; more are an error, never cut.
+#: Membership patterns that the driver routes. If there are more, those are left
+#: out that share no source with another, for which the flow is a formula; more
+#: overlapping ones are an error, never cut.
 MAX_PATTERNS = 200_000
 
 
@@ -58,7 +60,9 @@ def weighted_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float =
     )
 
 
-def route(patterns: dict[str, tuple[int, list[str]]], quotas: dict[str, int], repeats: int) -> dict[tuple[str, str], int]:
+def route(
+    patterns: dict[str, tuple[int, list[str]]], quotas: dict[str, float], repeats: int
+) -> dict[tuple[str, str], float]:
     """Min-cost flow of words from patterns to sources. ``patterns`` gives a
     pattern's words and sources. The k-th repetition of a pattern's words costs
     k - 1 a word, which is convex, so the cheapest flow of each amount first
@@ -138,8 +142,7 @@ def mix(
 
     ``membership`` is an array of the sources a document belongs to, ``targets``
     has ``(source, target)`` in words. Documents are summed up by membership
-    pattern; a pattern whose source occurs in no other pattern gives its target
-    (at most ``repeats`` times its words), the overlapping rest is routed by
+    pattern, and what each pattern gives to its sources is routed by
     min-cost flow. Within a pattern, documents lie on a line in seeded order,
     once per repetition, and a copy is taken if its middle lies in what the
     pattern gives; so a source misses its target by half a document at most.
@@ -149,109 +152,105 @@ def mix(
     A row without membership, without size or of a source without a target is
     not taken. Rows with equal keys are placed one after another by size; equal
     rows are alike, so reruns agree. Null keys are placed as one key.
-    Columns named copies, taken or taken_for are replaced. An empty table
-    gives an empty table.
+    Columns named copies, taken or taken_for are replaced, all others are carried
+    through whatever their names. An empty table gives an empty table.
     """
     own = [c for c in documents.columns if c not in ("copies", "taken", "taken_for")]
     names = F.array_sort(F.array_distinct(F.transform(F.col(membership), _name)))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))))
-    rows = documents.select(*[F.col(f"`{c}`") for c in own]).withColumns({
-        "_pattern": F.array_join(F.coalesce(names, F.array()), "\u0001"),
-        "_size": F.coalesce(F.col(f"`{size}`").cast("long"), F.lit(0)),
-        "_place": digest,
-    }).withColumn("_range", F.substring("_place", 1, 3))
-    sums = stage(rows.groupBy("_pattern", "_range").agg(F.sum("_size").alias("_words")))
-    given = _given(sums, targets, repeats)
-    offsets = sums.withColumn(
-        "_before", F.sum("_words").over(W.partitionBy("_pattern").orderBy("_range")) - F.col("_words")
-    ).drop("_words")
-    within = W.partitionBy("_pattern", "_range").orderBy("_place", "_size").rowsBetween(W.unboundedPreceding, 0)
-    placed = (
-        rows.withColumn("_within", F.sum("_size").over(within) - F.col("_size"))
-        .join(offsets, ["_pattern", "_range"]).join(given, "_pattern", "left")
-    )
+    rows = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"),
+        F.array_join(F.coalesce(names, F.array()), "\u0001").alias("pattern"),
+        F.coalesce(F.col(f"`{size}`").cast("long"), F.lit(0)).alias("size"), digest.alias("place"),
+    ).withColumn("range", F.substring("place", 1, 3))
+    sums = stage(rows.groupBy("pattern", "range").agg(F.sum("size").alias("words")))
+    # what is known of a pattern goes to its ranges, and with them to documents
+    before = F.sum("words").over(W.partitionBy("pattern").orderBy("range")) - F.col("words")
+    offsets = sums.withColumn("before", before).drop("words").join(_given(sums, targets, repeats), "pattern", "left")
+    within = W.partitionBy("pattern", "range").orderBy("place", "size").rowsBetween(W.unboundedPreceding, 0)
+    placed = rows.withColumn("within", F.sum("size").over(within) - F.col("size")).join(offsets, ["pattern", "range"])
     turns = F.sequence(F.lit(0), F.lit(repeats - 1))
 
     def source_of(turn: Column) -> Column:
-        middle = turn * F.col("_pattern_words") + F.col("_before") + F.col("_within") + F.col("_size") / 2
-        return F.filter("_parts", lambda p: (p["low"] <= middle) & (middle < p["high"]))
+        middle = turn * F.col("pattern_words") + F.col("before") + F.col("within") + F.col("size") / 2
+        return F.filter("parts", lambda p: (p["low"] <= middle) & (middle < p["high"]))
 
     taken_for = F.flatten(F.transform(turns, lambda t: F.transform(source_of(t), lambda p: p["source"])))
-    return placed.withColumn(
-        "taken_for", F.when(F.col("_parts").isNull(), F.expr("cast(array() as array<string>)")).otherwise(taken_for)
-    ).select(
-        *[F.col(f"`{c}`") for c in own], "taken_for", F.size("taken_for").alias("copies"),
-        (F.size("taken_for") * F.col("_size")).cast("long").alias("taken"),
+    taken_for = F.when(F.col("parts").isNull(), F.expr("cast(array() as array<string>)")).otherwise(taken_for)
+    return placed.select("row", "size", taken_for.alias("sources")).select(
+        *[F.col("row")[c].alias(c) for c in own], F.col("sources").alias("taken_for"), F.size("sources").alias("copies"),
+        (F.size("sources") * F.col("size")).cast("long").alias("taken"),
     )
 
 
 def _given(sums: DataFrame, targets: DataFrame, repeats: int) -> DataFrame:
-    """``(_pattern, _pattern_words, _parts)``: the piece of a pattern's line
+    """``(pattern, pattern_words, parts)``: the piece of a pattern's line
     that goes to each of its sources."""
     spark = sums.sparkSession
-    patterns = sums.groupBy("_pattern").agg(F.sum("_words").alias("_pattern_words")).where("_pattern <> ''")
-    patterns = patterns.withColumn("_names", F.split("_pattern", "\u0001"))
-    quotas = targets.select(_name(F.col("source")).alias("_name"), F.col("source").alias("_source"),
-                            F.col("target").cast("double").alias("_target"))
-    per_source = patterns.select(F.explode("_names").alias("_name"), "_pattern").groupBy("_name").agg(
-        F.count(F.lit(1)).alias("_n"))
-    shared = per_source.where("_n > 1").select("_name")
+    patterns = sums.groupBy("pattern").agg(F.sum("words").alias("pattern_words")).where("pattern <> ''")
+    patterns = patterns.withColumn("names", F.split("pattern", "\u0001"))
+    quotas = targets.select(_name(F.col("source")).alias("name"), "source", F.col("target").cast("double").alias("target"))
     part_type = "array<struct<source:string,low:double,high:double>>"
-    single = (
-        patterns.where("size(_names) = 1").withColumn("_name", F.col("_names")[0])
-        .join(shared, "_name", "left_anti").join(quotas, "_name")
-        .select("_pattern", "_pattern_words", F.array(F.struct(
-            F.col("_source").alias("source"), F.lit(0.0).alias("low"),
-            F.least(F.col("_target"), F.col("_pattern_words") * float(repeats)).alias("high"))).cast(part_type).alias("_parts"))
-    )
-    rest = patterns.join(single.select("_pattern"), "_pattern", "left_anti").where(
-        "size(_names) > 1").unionByName(
-        patterns.where("size(_names) = 1").withColumn("_name", F.col("_names")[0]).join(shared, "_name", "left_semi").drop("_name"))
-    found = rest.limit(MAX_PATTERNS + 1).collect()
-    if not found:
-        return single
+    routed, single = patterns, None
+    if patterns.limit(MAX_PATTERNS + 1).count() > MAX_PATTERNS:
+        routed, single = _apart(patterns, quotas, repeats, part_type)
+    found = routed.limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} overlapping membership patterns")
-    names = sorted({n for r in found for n in r["_names"]})
-    wanted = {r["_name"]: r for r in quotas.join(
-        spark.createDataFrame([(n,) for n in names], "_name string"), "_name").collect()}
-    flow = route({r["_pattern"]: (r["_pattern_words"], list(r["_names"])) for r in found},
-                 {n: round(r["_target"]) for n, r in wanted.items()}, repeats)
+    names = spark.createDataFrame([(n,) for n in sorted({n for r in found for n in r["names"]})], "name string")
+    wanted = {r["name"]: r for r in quotas.join(names, "name").collect()}
+    flow = route({r["pattern"]: (r["pattern_words"], list(r["names"])) for r in found},
+                 {n: r["target"] for n, r in wanted.items()}, repeats)
     parts: dict[str, list] = defaultdict(list)
     for (pattern, name), words in sorted(flow.items()):
         low = parts[pattern][-1][2] if parts[pattern] else 0.0
-        parts[pattern].append((wanted[name]["_source"], low, low + words))
-    routed = spark.createDataFrame(
-        [(r["_pattern"], r["_pattern_words"], parts[r["_pattern"]]) for r in found],
-        f"_pattern string, _pattern_words long, _parts {part_type}",
+        parts[pattern].append((wanted[name]["source"], low, float(low + words)))
+    given = spark.createDataFrame(
+        [(r["pattern"], r["pattern_words"], parts[r["pattern"]]) for r in found],
+        f"pattern string, pattern_words long, parts {part_type}",
     )
-    return single.unionByName(routed)
+    return given if single is None else given.unionByName(single)
+
+
+def _apart(patterns: DataFrame, quotas: DataFrame, repeats: int, part_type: str) -> tuple[DataFrame, DataFrame]:
+    """The patterns that share a source with another, and what the others give:
+    with one way for its words, a pattern's cheapest flow is the lesser of target
+    and repeated words."""
+    per_source = patterns.select(F.explode("names").alias("name"), "pattern").groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"))
+    alone = patterns.where("size(names) = 1").withColumn("name", F.col("names")[0]).join(
+        per_source.where("n = 1").select("name"), "name")
+    single = alone.join(quotas, "name").select("pattern", "pattern_words", F.array(F.struct(
+        "source", F.lit(0.0).alias("low"), F.least(F.col("target"), F.col("pattern_words") * float(repeats)).alias("high"),
+    )).cast(part_type).alias("parts"))
+    return patterns.join(alone.select("pattern"), "pattern", "left_anti"), single
 
 
 def mix_by_source(documents: DataFrame) -> DataFrame:
-    """``documents`` with size, source_size, target, copies and taken, each
-    document a member of its own source (null is a source too). Columns of
+    """``documents`` with size, source_size, target, copies, taken and taken_for,
+    each document a member of its own source (null is a source too). Columns of
     these names are replaced."""
-    own = [c for c in documents.columns if c not in ("size", "source_size", "target", "_membership")]
-    sized = documents.select(*[F.col(f"`{c}`") for c in own]).withColumn("size", word_count(blank(F.col("text"))))
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = stage(weighted_targets(sources))
-    mixed = mix(sized.withColumn("_membership", F.array("source")), targets, "_membership", "size", "doc_id")
-    named = targets.select(_name(F.col("source")).alias("_name"), "source_size", "target")
-    return mixed.withColumn("_name", _name(F.col("source"))).join(named, "_name").drop("_name", "_membership")
+    return mix_sized(documents.withColumn("size", word_count(blank(F.col("text")))))
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    sized = stage(documents.select("doc_id", "source", word_count(blank(F.col("text"))).alias("size")))
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = stage(weighted_targets(sources))
+def mix_sized(documents: DataFrame) -> DataFrame:
+    """The same for documents whose ``size`` is known."""
+    own = [c for c in documents.columns if c not in ("source_size", "target")]
+    row = F.struct(*[F.col(f"`{c}`") for c in own]).alias("row")
+    sized = documents.select(row, "doc_id", "source", "size")
+    targets = stage(weighted_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))))
     mixed = mix(sized.withColumn("membership", F.array("source")), targets, "membership", "size", "doc_id")
     named = targets.select(_name(F.col("source")).alias("name"), "source_size", "target")
-    return (
-        mixed.withColumn("name", _name(F.col("source"))).join(named, "name")
-        .select("doc_id", "size", "source_size", "target", "taken")
-    )
+    mixed = mixed.withColumn("name", _name(F.col("source"))).join(named, "name")
+    return mixed.select(
+        *[F.col("row")[c].alias(c) for c in own if c not in ("copies", "taken", "taken_for")],
+        "source_size", "target", "copies", "taken", "taken_for")
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    sized = stage(documents.select("doc_id", "source", word_count(blank(F.col("text"))).alias("size")))
+    return mix_sized(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
 SQL = f"""with docs as (select doc_id, source,
