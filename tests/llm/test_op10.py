@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from weblode.llm import op10_pii as op
 
@@ -75,3 +76,36 @@ def test_context_raises_the_score(spark):
 
 def test_empty(spark):
     assert op.find_pii(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def numbers(n):
+    """Card-like numbers, some of them right, and where they and their context lie."""
+    return " ".join(f"card {4111111111111111 + 10 * k}" if k % 3 else f"x {4111111111111111 + k}" for k in range(n))
+
+
+@pytest.mark.parametrize("n", [op.GROUP - 1, op.GROUP, op.GROUP + 1, 5 * op.GROUP + 7])
+def test_groups_of_matches_against_brute_force(spark, n):
+    text = numbers(n)
+    found = {}
+    for m in re.finditer(op.CARD, text):
+        digits = [int(c) for c in reversed(m.group())]
+        if sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits)) % 10 == 0:
+            near = text[max(0, m.start() - op.CONTEXT) : m.start()]
+            gain = op.CONTEXT_GAIN if re.search(op.CONTEXT_WORDS["card"], near) else 0
+            found[m.start()] = (m.end(), m.group(), round(op.SCORES["card"] + gain, 2))
+    df = spark.createDataFrame([(text,)], "text string")
+    got = {p["start"]: (p["end"], p["value"], p["score"]) for p in op.find_pii(df).first()["pii"] if p["kind"] == "card"}
+    assert got == found and found
+
+
+def test_time_grows_with_the_matches_and_not_with_their_square(spark):
+    import time
+
+    seconds = []
+    for n in (10_000, 40_000):
+        df = spark.createDataFrame([(numbers(n),)], "text string")
+        op.find_pii(df).select(F.size("pii")).collect()
+        begin = time.perf_counter()
+        assert op.find_pii(df).select(F.size("pii")).first()[0] > n // 20
+        seconds.append(time.perf_counter() - begin)
+    assert seconds[1] < 4 * seconds[0] + 4, seconds

@@ -36,32 +36,64 @@ CONTEXT_WORDS = {
     "ssn": "ssn|social security",
 }
 CONTEXT, CONTEXT_GAIN, KEEP = 40, 0.1, 0.35
+#: Matches of a text that are worked through at a time; so many hold more than
+#: ``CONTEXT`` characters.
+GROUP = 128
+
+
+def _let(value: Column, function) -> Column:
+    """``function(value)``, with the value computed once however often it is used."""
+    return F.transform(F.array(value), function)[0]
 
 
 def _matches(text: Column, pattern: str) -> Column:
-    """array<struct<start,end,value>> of all matches, in code points: the
-    lengths of the matches and of the pieces between them are summed up."""
+    """array<struct<start,end,value,near>> of all matches, in code points: the
+    lengths of the matches and of the pieces between them are summed up. ``near``
+    are the ``CONTEXT`` characters before a match. Pieces are worked through in
+    groups of ``GROUP``, as appending to one array would take time by the
+    square of its length."""
+    nothing = F.expr("cast(array() as array<struct<start:int,end:int,value:string,near:string>>)")
     pieces = F.arrays_zip(
         F.split(text, pattern, -1).alias("gap"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"),
     )
-    nothing = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
 
     def add(acc: Column, piece: Column) -> Column:
         start = acc["at"] + F.char_length(piece["gap"])
         end = start + F.char_length(F.coalesce(piece["value"], F.lit("")))
-        found = F.struct(start.alias("start"), end.alias("end"), piece["value"].alias("value"))
+        near = F.right(F.concat(acc["tail"], piece["gap"]), F.lit(CONTEXT))
+        found = F.struct(start.alias("start"), end.alias("end"), piece["value"].alias("value"), near.alias("near"))
         return F.struct(
             end.alias("at"),
-            F.when(piece["value"].isNull(), acc["found"])
-            .otherwise(F.concat(acc["found"], F.array(found)))
-            .alias("found"),
+            F.when(piece["value"].isNull(), F.lit("")).otherwise(F.right(F.concat(near, piece["value"]), F.lit(CONTEXT))).alias("tail"),
+            F.when(piece["value"].isNull(), acc["found"]).otherwise(F.concat(acc["found"], F.array(found))).alias("found"),
         )
 
-    initial = F.struct(F.lit(0).alias("at"), nothing.alias("found"))
-    return F.when(
-        text.rlike(pattern), F.aggregate(pieces, initial, add, lambda acc: acc["found"])
-    ).otherwise(nothing)
+    def of_group(group: Column, before: Column) -> Column:
+        begin = F.struct(before["at"].alias("at"), before["tail"].alias("tail"), nothing.alias("found"))
+        return F.aggregate(group, begin, add, lambda acc: acc["found"])
+
+    def groups(all_: Column) -> Column:
+        last = F.floor((F.size(all_) - 1) / GROUP).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(all_, i * GROUP + 1, F.lit(GROUP)))
+
+    def befores(all_: Column) -> Column:
+        """Where each group begins, and the end of the text before it."""
+        none = F.expr("cast(array() as array<struct<at:int,tail:string>>)")
+
+        def text_of(group: Column) -> Column:
+            return F.array_join(F.flatten(F.transform(group, lambda p: F.array(p["gap"], p["value"]))), "")
+
+        def step(acc: Column, own: Column) -> Column:
+            return F.struct(
+                (acc["at"] + F.char_length(own)).alias("at"), F.right(own, F.lit(CONTEXT)).alias("tail"),
+                F.concat(acc["all"], F.array(F.struct(acc["at"].alias("at"), acc["tail"].alias("tail")))).alias("all"))
+
+        begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), none.alias("all"))
+        return F.aggregate(F.transform(all_, text_of), begin, step, lambda acc: acc["all"])
+
+    found = _let(_let(pieces, groups), lambda all_: F.flatten(F.zip_with(all_, befores(all_), of_group)))
+    return F.when(text.rlike(pattern), found).otherwise(nothing)
 
 
 def _digits(value: Column) -> Column:
@@ -116,8 +148,7 @@ def _kind(text: Column, kind: str, pattern: str, needs: Column) -> Column:
     every text with a match passes."""
 
     def scored(span: Column) -> Column:
-        low = F.greatest(span["start"] - CONTEXT, F.lit(0))
-        near = F.lower(F.substring(text, low + 1, span["start"] - low))
+        near = F.lower(span["near"])
         score = F.lit(SCORES[kind]) + F.when(near.rlike(CONTEXT_WORDS[kind]), CONTEXT_GAIN).otherwise(0.0)
         return F.struct(
             F.lit(kind).alias("kind"), span["start"].alias("start"), span["end"].alias("end"),
