@@ -70,3 +70,14 @@ def test_files(spark, coder):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert op.write_and_read(spark, empty, op.tokenizer_path()).count() == 0
+
+
+def test_settings_of_the_session_stay(spark, tmp_path):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, "777")
+    try:
+        df = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+        op.write_tokens(df, f"{tmp_path}/t", op.tokenizer_path())
+        assert op.read_digests(spark, f"{tmp_path}/t").count() == 2 and spark.conf.get(key) == "777"
+    finally:
+        spark.conf.unset(key)

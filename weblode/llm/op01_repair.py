@@ -12,16 +12,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblode.llm.common import arrow_batches, blank, read_table, scratch_dir
+from weblode.llm.common import blank, read_table, scratch_dir, share_code
 from weblode.llm.pretokens import encoder, texts_of
 
 NAME = "op1_repair"
 
 END = 2
 #: Ids of a shard (or one longer document), rounds of replacement, pairs that a
-#: round replaces, how often a pair must occur in the shard, and the part of
-#: the symbols that a round must save for another to follow.
-SHARD_IDS, ROUNDS, ROUND_PAIRS, LEAST_COUNT, LEAST_SAVING = 1 << 20, 16, 4096, 12, 0.02
+#: round replaces, and how often a pair must occur in the shard.
+SHARD_IDS, ROUNDS, ROUND_PAIRS, LEAST_COUNT = 1 << 20, 16, 4096, 12
 #: Characters that are encoded at a time.
 STEP_CHARS = 2 << 20
 
@@ -50,7 +49,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int, end: int = END) -> G
     """Re-Pair by rounds: count all pairs, take the most frequent that can't
     overlap (the first symbols of the pairs of a round and the second ones are
     disjoint; a pair of equal symbols is the only one with its symbol), replace
-    them everywhere, until no pair is frequent or a round saves little. The end id is in no pair, so a
+    them everywhere, until no pair is frequent. The end id is in no pair, so a
     symbol never reaches from one document into the next."""
     last = np.cumsum(sizes) - 1
     symbols = ids.astype(np.int64)
@@ -74,13 +73,11 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int, end: int = END) -> G
         symbols[at] = top + np.searchsorted(chosen, symbols[at] << 32 | symbols[at + 1])
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        before, symbols, doc_end = len(symbols), symbols[keep], doc_end[keep]
+        symbols, doc_end = symbols[keep], doc_end[keep]
         known = np.concatenate(lengths)
         lengths.append(sum(np.where(p < base, 1, known[np.maximum(p - base, 0)] if len(known) else 1) for p in pairs.T))
         rules.append(pairs)
         top += len(chosen)
-        if len(symbols) > before * (1 - LEAST_SAVING):
-            break
     bounds = np.append(0, np.flatnonzero(doc_end) + 1)
     none = np.zeros((0, 2), np.int64)
     return Grammar(base, np.concatenate([none, *rules]), np.concatenate(lengths), symbols, bounds)
@@ -221,7 +218,7 @@ def write_tokens(
     table gives empty files.
     """
     spark = documents.sparkSession
-    arrow_batches(spark)
+    share_code(spark)
     rows = documents.select(F.col(f"`{key}`").cast("long").alias("key"), blank(F.col(f"`{text}`")).alias("text"))
     shards = (
         rows.repartitionByRange("key").sortWithinPartitions("key", "text")
@@ -282,7 +279,7 @@ def _read(digest: bool):
 
 
 def _scan(spark: SparkSession, path: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # a row is a shard
+    share_code(spark)
     index = spark.read.parquet(f"{path}/index").select("shard", "ids_before")
     return spark.read.parquet(f"{path}/shards").join(index, "shard")
 
