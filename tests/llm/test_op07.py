@@ -55,3 +55,42 @@ def test_edges(spark):
     nothing = op.learn(df.limit(0))
     assert {r["lang_pred"] for r in op.predict(df, nothing, {"doc_id": F.col("doc_id")}).collect()} == {"und"}
     assert op.predict(df.limit(0), filters, {"doc_id": F.col("doc_id")}).count() == 0
+
+
+def test_seventy_languages(spark):
+    """More than a word of a slot has bits."""
+    letters = [chr(0x4E00 + 7 * k) for k in range(70)]
+    rows = [(f"l{k:02}", " ".join(a + letters[k] * j + a for j in range(1, 9))) for k, a in enumerate(letters) for _ in range(2)]
+    filters = op.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert len(filters.languages) == 70 and filters.slots.shape[1] == 2
+    got = op.predict(spark.createDataFrame(rows, "lang string, text string"), filters, {"lang": F.col("lang")}).collect()
+    assert all(r["lang"] == r["lang_pred"] for r in got) and len(got) == 140
+
+
+def test_all_ngrams_of_a_language_are_kept(spark, monkeypatch):
+    """100,000 n-grams, more than the smallest filter has room for."""
+    monkeypatch.setattr(op, "SLOTS", 1 << 10)
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(25_000)]
+    rows = [("a", " ".join(words[k::40])) for k in range(40)] + [("b", "ж" * 9)]
+    filters = op.learn(spark.createDataFrame(rows, "lang string, text string"))
+    raw, at = text_buffer(pa.array([text for lang, text in rows if lang == "a"]))
+    values = np.unique(op.grams(raw, at)[0])
+    assert len(values) > 100_000 and len(filters.slots) >= op.SLOTS_PER_GRAM * len(values)
+    assert filters.counts(values, np.array([0, len(values)]))[0, 0] == len(values)
+    assert filters.false_rate.max() < 0.07
+
+
+def test_the_sample_is_bounded_by_keys(spark, monkeypatch):
+    monkeypatch.setattr(op, "SAMPLE_ROWS", 10)
+    df = spark.range(440).select(F.lit("a").alias("lang"), F.concat(F.lit("text"), F.col("id") % 400).alias("text"))
+    df = df.withColumn("h", F.xxhash64("text"))
+    got = [r["h"] for r in op._sample(df, {"a": 440}).collect()]
+    assert sorted(got) == sorted({r["h"] for r in df.collect()})[:10]
+
+
+def test_kept_names_that_clash_are_refused(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="letters"):
+        op.predict(spark.range(1).withColumn("text", F.lit("")), None, {"letters": F.col("id")})

@@ -12,17 +12,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblode.llm.common import arrow_batches, blank, fold, mix64, read_table, slices, text_buffer
+from weblode.llm.common import blank, fold, mix64, read_table, share_code, slices, text_buffer
 
 NAME = "op7_language"
 
 #: Training rows per language at most, chosen by a hash of the text; languages
-#: at most (bits of a filter slot).
-SAMPLE_ROWS, LANGUAGES = 4000, 64
-#: Bytes of an n-gram, n-grams of a language, slots of the filter and lookups
-#: of an n-gram. 64 languages of 20,000 n-grams would fill a slot's bit to
-#: 2 * 20,000 / 2^18 = 15 %.
-GRAM, GRAMS, SLOTS, HASHES = 4, 20_000, 1 << 18, 2
+#: at most, whose numbers of rows the driver gets (64 to a word of a slot).
+SAMPLE_ROWS, LANGUAGES = 4000, 4096
+#: Bytes of an n-gram, slots of the filter at least and per n-gram of the largest
+#: language, and lookups of an n-gram: a bit is set in at most 2 of 8 slots.
+GRAM, SLOTS, SLOTS_PER_GRAM, HASHES = 4, 1 << 18, 8, 2
 #: A language contains an n-gram if its share there is at least this part of
 #: its largest share in any language; less is quotations and stray words.
 STRAY = 0.05
@@ -56,13 +55,14 @@ def grams(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return value[position], np.searchsorted(position, np.append(starts - 1, len(raw) + n))
 
 
-def _slots(values: np.ndarray) -> list[np.ndarray]:
+def _slots(values: np.ndarray, slots: int = SLOTS) -> list[np.ndarray]:
     h = mix64(values.astype(np.uint64) + np.uint64(1))
-    return [((h >> np.uint64(20 * k)) & np.uint64(SLOTS - 1)).astype(np.int64) for k in range(HASHES)]
+    return [((h >> np.uint64(32 * k)) & np.uint64(slots - 1)).astype(np.int64) for k in range(HASHES)]
 
 
 class Filters(NamedTuple):
-    """``slots``: bit l is set where an n-gram of language l falls. ``known``:
+    """``slots``: bit l is set where an n-gram of language l falls, 64 languages
+    to a word, one column of words or several. ``known``:
     the share of n-grams of a language's own text that its filter holds,
     ``false_rate``: the share of all n-grams it holds by chance."""
 
@@ -73,14 +73,16 @@ class Filters(NamedTuple):
 
     def counts(self, values: np.ndarray, first: np.ndarray) -> np.ndarray:
         """N-grams of each text that each language seems to contain."""
-        masks = np.full(len(values), ~np.uint64(0))
-        for place in _slots(values):
-            masks &= self.slots[place]
         out = np.zeros((len(first) - 1, len(self.languages)))
-        for k in range(len(self.languages)):
-            total = np.zeros(len(values) + 1, np.int64)
-            np.cumsum(((masks >> np.uint64(k)) & np.uint64(1)).astype(np.int8), out=total[1:])
-            out[:, k] = total[first[1:]] - total[first[:-1]]
+        places = _slots(values, len(self.slots))
+        for word, slots in enumerate(self.slots.reshape(len(self.slots), -1).T):
+            masks = np.full(len(values), ~np.uint64(0))
+            for place in places:
+                masks &= slots[place]
+            for k in range(64 * word, min(64 * word + 64, len(self.languages))):
+                total = np.zeros(len(values) + 1, np.int64)
+                np.cumsum(((masks >> np.uint64(k % 64)) & np.uint64(1)).astype(np.int8), out=total[1:])
+                out[:, k] = total[first[1:]] - total[first[:-1]]
         return out
 
     def scores(self, values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -110,16 +112,31 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     names=["lang", "gram", "n"])
 
 
+def _sample(rows: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """At most ``SAMPLE_ROWS`` distinct texts of each language, those with the
+    least hashes. Only keys are ordered, and few more of them than are kept."""
+    from pyspark.sql import Window as W
+
+    spark = rows.sparkSession
+    limits = [(name, min(2**64 * 2 * SAMPLE_ROWS // n - 2**63, 2**63 - 1)) for name, n in sizes.items()]
+    rows = rows.join(F.broadcast(spark.createDataFrame(limits, "lang string, most long")), "lang").where("h <= most")
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("h"))
+    last = rows.select("lang", "h").distinct().withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS)
+    last = last.groupBy("lang").agg(F.max("h").alias("last")).collect()  # a row per language
+    last = spark.createDataFrame([(r["lang"], r["last"]) for r in last], "lang string, last long")
+    return rows.join(F.broadcast(last), "lang").where("h <= last").dropDuplicates(["lang", "h"])
+
+
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
     """Filters from rows with a language, at most ``SAMPLE_ROWS`` distinct whole
-    texts of each (those with the least hashes). A language's n-grams are the ``GRAMS``
-    most frequent ones of the sample
-    that aren't stray. Rows without language or text are left
-    out; more than 64 languages are an error; no rows at all give no filters."""
+    texts of each (those with the least hashes). A language's n-grams are all
+    of the sample that aren't stray; the filter has as many slots as they need.
+    Rows without language or text are left out, repeated ones count once; more
+    than ``LANGUAGES`` languages are an error; no rows at all give no filters."""
     from pyspark.sql import Window as W
 
     spark = labelled.sparkSession
-    arrow_batches(spark)
+    share_code(spark)
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where(
         "text is not null and lang is not null").withColumn("h", F.xxhash64("text"))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(LANGUAGES + 1).collect()}
@@ -127,31 +144,27 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filter
         raise ValueError(f"more than {LANGUAGES} languages")
     if not sizes:
         return Filters([], np.zeros(SLOTS, np.uint64), np.zeros(0), np.zeros(0))
-    # a hash limit that leaves a little more than the bound, then the bound
-    limits = [(name, min(2**64 * 2 * SAMPLE_ROWS // n - 2**63, 2**63 - 1)) for name, n in sizes.items()]
-    rows = rows.join(F.broadcast(spark.createDataFrame(limits, "lang string, most long")), "lang").where("h <= most").dropDuplicates(["lang", "h"])
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))
-    sample = rows.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS)
-    counts = sample.select("text", "lang").mapInArrow(_gram_counts, "lang string, gram long, n long")
+    counts = _sample(rows, sizes).select("text", "lang").mapInArrow(_gram_counts, "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    order = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
     counts = counts.withColumn("all", F.sum("n").over(W.partitionBy("lang")))
     share = F.col("n") / F.col("all")
     found = (
         counts.withColumn("share", share).withColumn("top", F.max("share").over(W.partitionBy("gram")))
-        .where(F.col("share") >= STRAY * F.col("top")).withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= GRAMS).select("lang", "gram", "n", "all").toArrow()
+        .where(F.col("share") >= STRAY * F.col("top")).select("lang", "gram", "n", "all").toArrow()
     )
     languages = sorted(sizes)
-    slots, known, density = np.zeros(SLOTS, np.uint64), np.zeros(len(languages)), np.zeros(len(languages))
     names, gram = np.array(found["lang"].to_pylist()), found["gram"].to_numpy()
     n, total = found["n"].to_numpy(), found["all"].to_numpy()
-    for k, name in enumerate(languages):
-        own = names == name
-        for place in _slots(gram[own]):
-            slots[place] |= np.uint64(1 << k)
-        known[k] = n[own].sum() / total[own][0] if own.any() else 0
-        density[k] = ((slots >> np.uint64(k)) & np.uint64(1)).mean()
+    order = np.argsort(names, kind="stable")
+    edges = np.append(np.searchsorted(names[order], languages), len(order))
+    size = max(SLOTS, 1 << int(SLOTS_PER_GRAM * np.diff(edges).max() - 1).bit_length())
+    slots, known, density = np.zeros((size, -(-len(languages) // 64)), np.uint64), np.zeros(len(languages)), np.zeros(len(languages))
+    for k in range(len(languages)):
+        own, bit = order[edges[k] : edges[k + 1]], np.uint64(1 << k % 64)
+        for place in _slots(gram[own], size):
+            slots[place, k // 64] |= bit
+        known[k] = n[own].sum() / total[own][0] if len(own) else 0
+        density[k] = ((slots[:, k // 64] & bit) > 0).mean()
     return Filters(languages, slots, known, density**HASHES)
 
 
@@ -184,15 +197,20 @@ def has_letter(text: Column) -> Column:
 
 def predict(documents: DataFrame, filters: Filters, keep: dict[str, Column], text: str = "text") -> DataFrame:
     """The columns of ``keep`` with lang_pred and score (0 to 1), a row per
-    document. Only the text is read for them.
+    document. Only the text is read for them. ``keep`` must not use the names
+    ``text``, ``letters``, ``lang_pred`` or ``score``.
 
     Null texts and texts without a letter are ``und`` with score 0, and so are
     all if nothing was learned. Texts with letters but without a known n-gram
     have equal scores and the first language. Rows are independent of each
-    other and stay where they are; an empty table gives an empty table.
+    other and stay where they are, so repeated ones come back as often; a long
+    text is worked on by itself, whole; an empty table gives an empty table.
     """
+    taken = {"text", "letters", "lang_pred", "score"} & set(keep)
+    if taken:
+        raise ValueError(f"kept columns need other names: {sorted(taken)}")
     spark = documents.sparkSession
-    arrow_batches(spark)
+    share_code(spark)
     rows = documents.select(
         *[c.alias(name) for name, c in keep.items()], blank(F.col(f"`{text}`")).alias("text"),
         has_letter(F.col(f"`{text}`")).alias("letters"))
