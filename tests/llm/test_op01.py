@@ -81,3 +81,13 @@ def test_settings_of_the_session_stay(spark, tmp_path):
         assert op.read_digests(spark, f"{tmp_path}/t").count() == 2 and spark.conf.get(key) == "777"
     finally:
         spark.conf.unset(key)
+
+
+def test_frequent_keys_against_counts():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 5, 400):
+        key = rng.integers(0, 30, n)
+        values, counts = np.unique(key, return_counts=True)
+        for least in (1, 2, 12):
+            got = op._frequent(key, least)
+            assert np.array_equal(got[0], values[counts >= least]) and np.array_equal(got[1], counts[counts >= least])

@@ -61,16 +61,17 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int, end: int = END) -> G
     for _ in range(ROUNDS):
         if len(symbols) < 2:
             break
-        keys, counts = np.unique(symbols[:-1] << 32 | symbols[1:], return_counts=True)
-        usable = (keys >> 32 != end) & (keys & 0xFFFFFFFF != end)
-        often = np.flatnonzero(usable & (counts >= LEAST_COUNT))
+        key = symbols[:-1] << 32 | symbols[1:]
+        often, counts = _frequent(key)
+        usable = (often >> 32 != end) & (often & 0xFFFFFFFF != end)
+        often, counts = often[usable], counts[usable]
         if not len(often):
             break
-        often = often[np.lexsort((keys[often], -counts[often]))][: 4 * ROUND_PAIRS]
-        chosen = _disjoint(keys[often])
+        often = often[np.lexsort((often, -counts))][: 4 * ROUND_PAIRS]
+        chosen = _disjoint(often)
         pairs = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1)
-        at = _places(symbols, chosen, pairs, top)
-        symbols[at] = top + np.searchsorted(chosen, symbols[at] << 32 | symbols[at + 1])
+        at, rule = _places(symbols, key, chosen, pairs, top)
+        symbols[at] = top + rule
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols, doc_end = symbols[keep], doc_end[keep]
@@ -83,6 +84,17 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int, end: int = END) -> G
     return Grammar(base, np.concatenate([none, *rules]), np.concatenate(lengths), symbols, bounds)
 
 
+def _frequent(key: np.ndarray, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
+    """Keys that occur at least ``least`` times, ascending, and how often."""
+    key = np.sort(key)
+    if len(key) < least:
+        return key[:0], key[:0]
+    again = key[least - 1 :] == key[: len(key) - least + 1]
+    heads = np.flatnonzero(again & np.r_[True, key[1 : len(again)] != key[: len(again) - 1]])
+    often = key[heads]
+    return often, np.searchsorted(key, often, side="right") - heads
+
+
 def _disjoint(keys: np.ndarray) -> np.ndarray:
     """The pairs of a round, in ascending order, from candidates in order of
     their counts."""
@@ -100,24 +112,28 @@ def _disjoint(keys: np.ndarray) -> np.ndarray:
     return np.sort(np.array(chosen, np.int64))
 
 
-def _places(symbols: np.ndarray, chosen: np.ndarray, pairs: np.ndarray, top: int) -> np.ndarray:
-    """Where chosen pairs stand. Only pairs of equal symbols can overlap: of
-    those in a run, every other one is taken."""
+def _places(
+    symbols: np.ndarray, key: np.ndarray, chosen: np.ndarray, pairs: np.ndarray, top: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where chosen pairs stand, and which one stands there. Only pairs of equal
+    symbols can overlap: of those in a run, every other one is taken."""
     first, second = np.zeros(top, bool), np.zeros(top, bool)
     first[pairs[:, 0]] = True
     second[pairs[:, 1]] = True
     at = np.flatnonzero(first[symbols[:-1]] & second[symbols[1:]])
-    key = symbols[at] << 32 | symbols[at + 1]
+    key = key[at]
     place = np.searchsorted(chosen, key)
     place[place == len(chosen)] = 0
-    at = at[chosen[place] == key]
+    right = chosen[place] == key
+    at, place = at[right], place[right]
     twins = symbols[at] == symbols[at + 1]
     if twins.any():
         new = np.ones(len(at), bool)
         new[1:] = (np.diff(at) > 1) | ~twins[1:] | ~twins[:-1]
         run = np.arange(len(at)) - np.flatnonzero(new)[np.cumsum(new) - 1]
-        at = at[~twins | (run % 2 == 0)]
-    return at
+        taken = ~twins | (run % 2 == 0)
+        at, place = at[taken], place[taken]
+    return at, place
 
 
 def expansions(base: int, rules: np.ndarray) -> np.ndarray:
