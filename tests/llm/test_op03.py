@@ -2,12 +2,16 @@
 
 import itertools
 import random
+import string
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from weblode.llm import op03_secrets as op
 
+MEDIUM = "/root/testdata/sf0.01"
+
 PROSE = "the quick brown fox jumps over a lazy dog and runs far away from here".split()
 
 
@@ -89,3 +93,173 @@ def test_nothing_to_learn(spark):
     assert [r["secrets"] for r in op.find_secrets(df, op.learn(df)).collect()] == [[], []]
     empty = df.limit(0)
     assert op.find_secrets(empty, op.learn(empty)).count() == 0
+
+
+# --- what the tagger is for: secrets that no pattern describes ------------------
+
+_ALL = string.ascii_letters + string.digits
+
+
+def _unseen(rng):
+    """Secrets of formats and under words that the training texts don't have."""
+    run = lambda of, n: "".join(rng.choices(of, k=n))
+    return rng.choice((
+        lambda: ("pw: ", run(_ALL, 18)), lambda: ("", "ghp_" + run(_ALL, 36)), lambda: ("stripe ", "sk_live_" + run(_ALL, 24)),
+        lambda: ("Cookie ", "eyJ" + run(_ALL, 20) + ".eyJ" + run(_ALL, 40) + "." + run(_ALL + "-_", 43)),
+        lambda: ("webhook ", "xoxb-" + run(string.digits, 12) + "-" + run(_ALL, 24)),
+    ))()
+
+
+def _planted(texts, make, seed=5):
+    """Texts with one secret between two words: (number, text, start, end)."""
+    rng, out = random.Random(seed), []
+    for k, text in enumerate(texts):
+        words = text.split(" ")
+        at = rng.randrange(len(words) + 1)
+        before, value = make(rng)
+        head = " ".join(words[:at])
+        body = f"{head} {before}{value} " + " ".join(words[at:])
+        start = len(head) + 1 + len(before)
+        out.append((k, body, start, start + len(value)))
+    return out
+
+
+def _recall(spark, field, rows):
+    df = spark.createDataFrame(rows, "k int, text string, low int, high int")
+    hits = op.find_secrets(df, field).select(
+        F.exists("secrets", lambda s: (s["kind"] == "crf") & (s["start"] <= F.col("low") + 8) & (s["end"] >= F.col("high") - 2)).alias("hit"))
+    return hits.agg(F.avg(F.col("hit").cast("double"))).first()[0]
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text")
+
+
+@pytest.fixture(scope="module")
+def clean(documents):
+    rows = documents.where("text <> ''").orderBy("doc_id").limit(400).collect()
+    return [r["text"] for r in rows if not op.base_spans(r["text"])]
+
+
+@pytest.fixture(scope="module")
+def field(spark, documents, clean):
+    """Fitted on texts that hold access keys too, which it is not to learn from."""
+    keys = [(None, text) for _, text, _, _ in _planted(clean[:100], _access_key, 9)]
+    return op.learn(documents.union(spark.createDataFrame(keys, documents.schema)), kinds=("assign", "hex"))
+
+
+def _access_key(rng):
+    return "", "AKIA" + "".join(rng.choices(string.ascii_uppercase + string.digits, k=16))
+
+
+def test_finds_formats_it_has_not_seen_and_leaves_clean_texts_alone(spark, documents, clean, field):
+    assert _recall(spark, field, _planted(clean, _unseen)) >= 0.9
+    marked = op.find_secrets(documents, field).where(F.exists("secrets", lambda s: s["kind"] == "crf")).count()
+    assert marked <= 0.01 * documents.count()
+
+
+def test_finds_access_keys_without_having_learned_them(spark, clean, field, monkeypatch):
+    rows = _planted(clean, _access_key)
+    monkeypatch.setattr(op, "base_spans", lambda text, long_hex=True: [])
+    df = spark.createDataFrame(rows, "k int, text string, low int, high int").toPandas()
+    hits = 0
+    for text, low, high in zip(df["text"], df["low"], df["high"]):
+        raw, at = op.text_buffer(op.pa.array([text]))
+        spans = op._spans(raw, at, op.pa.array([text]), field)[0]
+        hits += any(s <= low + 4 and e >= high - 1 for s, e, _ in spans)
+    assert hits >= 0.9 * len(df)
+
+
+def test_the_sample_does_not_depend_on_partitions(documents):
+    one, two = (op.learn(documents.repartition(n), size=20) for n in (1, 7))
+    assert all(np.array_equal(a, b) for a, b in zip(one, two))
+
+
+def test_clashing_names_long_text_and_settings(spark, field):
+    value = "Zk3q" + "".join(random.Random(3).choices(_ALL, k=30))
+    body = "the quick brown fox " * 200_000 + f"deploy with {value} today"
+    df = spark.createDataFrame([(1, body, "kept", 7), (2, None, None, 8)], "doc_id long, body string, text string, text_ int")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = {r["doc_id"]: r for r in op.find_secrets(df, field, "body").collect()}
+    assert got[1]["text"] == "kept" and got[1]["text_"] == 7 and got[2]["secrets"] == []
+    assert [(s["start"], s["end"]) for s in got[1]["secrets"]] == [(body.index(value), body.index(value) + len(value))]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+# --- the fixed patterns against a scanner that uses no regular expressions -------
+
+
+def _scan_by_hand(text):
+    """(kind, start, end) of the base spans, sign by sign."""
+    value = set(_ALL + "+/_.=-")
+    out = []
+
+    def run(at, of):
+        while at < len(text) and text[at] in of:
+            at += 1
+        return at
+
+    def assigned(at):
+        for key in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            own = text[at : at + len(key)]
+            if not own.isascii() or own.lower() != key:
+                continue
+            p = at + len(key)
+            p += text[p : p + 1] in ("'", '"') and p < len(text)
+            p = run(p, " ")
+            if text[p : p + 1] not in (":", "=") or p >= len(text):
+                continue
+            for quoted in (1, 0):
+                q = run(p + 1, " ")
+                if quoted and text[q : q + 1] in ("'", '"') and q < len(text):
+                    q += 1
+                if (end := run(q, value)) > q:
+                    return q, end
+        return None
+
+    at = 0
+    while at < len(text):
+        if hit := assigned(at):
+            if hit[1] - hit[0] >= 6:
+                out.append(("assign", at, hit[1]))
+            at = hit[1]
+        else:
+            at += 1
+    for kind, head, of, least in (("access", "AKIA", set(string.ascii_uppercase + string.digits), 20), ("hex", "", set("0123456789abcdef"), 24)):
+        at = 0
+        while at < len(text):
+            end = run(at + len(head), of) if text.startswith(head, at) else at
+            if end > at + len(head):
+                if end - at >= least:
+                    out.append((kind, at, end))
+                at = end
+            else:
+                at += 1
+    return sorted(out, key=lambda s: (s[1], op.KINDS.index(s[0])))
+
+
+def test_query_against_a_scanner_by_hand(spark, documents):
+    import hashlib
+
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    got = op.query(spark, MEDIUM).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        text = texts[r["doc_id"]]
+        # a text without any of these has no base span, by what the kinds are
+        worth = any(c in text for c in (":", "=", "AKIA")) or sum(c in "0123456789abcdef" for c in text) >= 24
+        spans = _scan_by_hand(text) if worth else []
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == kind for k, _, _ in spans) for kind in op.KINDS[:3]]
+        assert [s for s in r["spans"].split(",") if s and not s.startswith("crf")] == [s for s in joined.split(",") if s]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_patterns_on_random_signs(seed):
+    rng = random.Random(seed)
+    parts = ["token", "API_KEY", "apikey", "secret", "passwd", "=", ":", " ", '"', "'", "AKIA", "ABCDEFGH01234567", "0a1b2c3d4e5f", "x", "é", "K"]
+    for _ in range(400):
+        text = "".join(rng.choices(parts, k=rng.randrange(12)))
+        assert [(k, s, e) for s, e, k, _ in op.base_spans(text)] == _scan_by_hand(text), text
