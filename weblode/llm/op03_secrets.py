@@ -38,6 +38,8 @@ KINDS = ("assign", "access", "hex", "crf")
 #: characters that are taken of each, on both sides of a place; tokens of a
 #: window; passes over all.
 SAMPLE_TEXTS, AROUND, WIDTH, EPOCHS = 1000, 120, 40, 40
+#: Parts in which the sample is drawn from what tasks kept, before the last draw.
+PARTS = 64
 #: Copies of each text without a secret that get a made one.
 MADE = 3
 #: Slots of the weight table and the shortest span that the tagger adds.
@@ -512,9 +514,12 @@ def learn(documents: DataFrame, text: str = "text", kinds: tuple[str, ...] = KIN
     rows = documents.select(blank(F.col(f"`{text}`")).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
     drawn = rows.mapInArrow(_sampler(kinds, size), "secret boolean, h long, text string, places array<int>, odd double")
-    one = Window.partitionBy("secret").orderBy("h")
     pieces: dict[bool, list[Example]] = {True: [], False: []}
-    best = drawn.dropDuplicates(["secret", "h"]).withColumn("n", F.row_number().over(one)).where(F.col("n") <= size)
+    best = drawn.dropDuplicates(["secret", "h"])
+    # in parts first, so that what one task gets does not grow with the tasks before
+    for by in (["secret", F.pmod("h", F.lit(PARTS))], ["secret"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("h"))
+        best = best.withColumn("n", place).where(F.col("n") <= size)
     for r in best.orderBy("secret", "h").collect():
         places = r["places"]
         pieces[r["secret"]].append(Example(r["text"], list(zip(places[::2], places[1::2], strict=True)), r["odd"]))
