@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weblode.operators.index import indexed_urls, inverted_index, posting_lists
 from weblode.sources import keyed, packed, tables
 from weblode.sources.crawl import pack_crawl, read_crawl, skipped_files
-from weblode.sources.tables import read_pages, spread
+from weblode.sources.tables import read_documents, read_pages, spread
 from conftest import SMALL
 
 
@@ -86,6 +86,19 @@ def test_index_of_a_crawl(spark, crawl):
     assert ("one", "a.org/index", 1) in rows(inverted_index(read_crawl(spark, str(crawl))))
 
 
+def test_texts_are_cut_into_pieces_whatever_their_files_are(spark, tmp_path, monkeypatch):
+    """One file with one row group, many times as large as a piece."""
+    path, rows = str(tmp_path / "texts"), 400
+    texts = spark.range(0, rows, 1, 1).select(
+        F.col("id").alias("doc_id"), F.col("id").cast("string").alias("url"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 20).alias("text"))
+    texts.withColumn("html", F.col("text")).write.parquet(path)
+    monkeypatch.setattr("weblode.sources.tables.SPREAD_BYTES", 1)
+    monkeypatch.setattr("weblode.sources.tables.TEXT_BYTES", 1000)
+    for read in (read_pages(spark, path), read_documents(spark, path, "doc_id", "text")):
+        sizes = [r["count"] for r in read.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == rows and len(sizes) >= 20 and max(sizes) <= rows / 10
+
+
 def test_small_scans_are_spread_and_large_ones_left_alone(spark, monkeypatch):
     scan = spark.read.parquet(f"{SMALL}/pages.parquet")
     plan = spread(scan)._jdf.queryExecution().optimizedPlan().toString()
