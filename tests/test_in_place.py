@@ -114,6 +114,17 @@ def test_huge_hosts_are_cut(spark, tmp_path, how, monkeypatch):
         pack_crawl(spark, str(root), out, **how)
 
 
+def test_loose_files_of_a_huge_host_fill_slices(spark, tmp_path):
+    """They are bounded by the number of files, not by that of folders."""
+    for k in range(50):
+        put(tmp_path / "crawl", f"hot.org/{k}.html", f"<body>{k}</body>")
+    for host in ("a.org", "b.org", "c.org"):
+        put(tmp_path / "crawl", f"{host}/1.html", "<body>one</body>")
+    slices = list(crawls._Slices(spark, 2, 20).of(str(tmp_path / "crawl"), set()))
+    assert [len(paths) for paths in slices] == [2, 20, 20, 11]
+    assert len({path for paths in slices for path in paths}) == 53
+
+
 @pytest.mark.parametrize("at", [0, 1, 2])
 def test_packing_goes_on_after_a_failure(spark, tmp_path, monkeypatch, at):
     root, out = tmp_path / "crawl", str(tmp_path / "pages")
