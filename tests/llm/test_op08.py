@@ -183,3 +183,19 @@ def test_nothing_to_learn(spark):
     model = op.learn(df, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r["score"] < 0.01 for r in op.score(df, model, {"doc_id": F.col("doc_id")}).collect()} == {True}
     assert op.score(df.limit(0), model, {"doc_id": F.col("doc_id")}).count() == 0
+
+
+def test_counting_holds_few_ngrams_at_a_time(monkeypatch):
+    """What a worker holds is bounded also inside a batch, and nothing is lost."""
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("abcdefghij "), 300)) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts), pa.array([k % 2 for k in range(60)], pa.int32()), pa.array([k % 3 % 2 for k in range(60)], pa.int32())],
+        names=["text", "toxic", "half"])
+    whole = list(op._counted(iter([batch])))
+    monkeypatch.setattr(op, "TEXT_STEP", 1000)
+    monkeypatch.setattr(op, "HELD_GRAMS", 2000)
+    pieces = list(op._counted(iter([batch])))
+    assert len(pieces) > 1 and max(p.num_rows for p in pieces) < 3000
+    sums = [pa.Table.from_batches(x).group_by("gram").aggregate([(c, "sum") for c in ("t0", "o0", "t1", "o1")]).sort_by("gram") for x in (whole, pieces)]
+    assert sums[0].equals(sums[1]) and sums[0].num_rows > 3000
