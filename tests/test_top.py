@@ -174,3 +174,23 @@ def test_words_that_no_task_could_hold_are_still_told_apart(stored, monkeypatch)
     store, _ = stored
     assert {r["word"] for r in stores.heavy_words(store.inv_index, HEAVY).collect()} == {"hot", "warm"}
     assert stores.heavy_words(store.inv_index, 300).count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 30, 10**9])
+def test_best_rows_of_words_on_few_and_on_many_pages(spark, monkeypatch, most):
+    """Only words on very many pages are picked from in parts; rows are the same."""
+    postings = [(f"w{k}", f"{p:03d}", (p * 7 + k) % 25 + 1) for k in range(6) for p in range(12 * k)]
+    ranks = {f"{p:03d}": p % 5 / 4 for p in range(0, 60, 2)}
+    spread, first = [], stores.first_rows
+    monkeypatch.setattr(stores, "first_rows", lambda *a: spread.append(a[4]) or first(*a))
+    monkeypatch.setattr(stores, "SPREAD_POSTINGS", most)
+    monkeypatch.setattr(stores, "BEST_ROWS", 9)
+    index = spark.createDataFrame(postings, "word string, website_id string, count bigint")
+    found = stores.best_rows(index, spark.createDataFrame(list(ranks.items()), "website_id string, value double"), 20)
+    expected = []
+    for word in ("w2", "w3", "w4", "w5"):
+        own = [(s, ranks[s] + min(c, 20) / 20 if s in ranks else None) for w, s, c in postings if w == word]
+        own.sort(key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+        expected += [(word, n, s) for n, (s, _) in enumerate(own[:9], 1)]
+    assert sorted((r["word"], r["n"], r["website_id"]) for r in found.collect()) == expected
+    assert spread == {0: ["website_id"], 30: [None, "website_id"], 10**9: [None]}[most]
