@@ -123,3 +123,23 @@ def test_long_blocks_are_parts_of_articles(spark):
     article = " ".join(f"a{k}" for k in range(op.LONG_BLOCK))
     df = spark.createDataFrame([(k, f"http://h/{k}", f"<p>{article}</p><p>{k}</p>") for k in range(9)], "page_id long, url string, html string")
     assert {r["page_id"]: r["text"] for r in op.extract(df).collect()} == {k: f"{article}\n{k}" for k in range(9)}
+
+
+def test_notices_in_marked_articles_go(spark):
+    """Loose blocks beside the paragraphs that several pages of the host hold;
+    paragraphs and headings that repeat, and what one page holds, stay."""
+    notice = "<div>sign up now for the weekly letter of this house</div>"
+    line = "this line stands in many articles and belongs to them"
+    rows, expected = [], {}
+    for k in range(6):
+        own = f"<div>written in the year {1990 + k} by author number {k} alone</div>"
+        inside = "<div>see also the longer report on the same old matter</div>"
+        rows.append((k, f"http://h/{k}", f"<nav>menu</nav><article><h1>{line}</h1>{notice}{own}<p>text {k}</p>{inside}<p>{line}</p>{notice}</article>"))
+        expected[k] = f"{line}\nwritten in the year {1990 + k} by author number {k} alone\ntext {k}\nsee also the longer report on the same old matter\n{line}"
+    rows += [(10 + k, f"http://h/{k}", f"<article>{notice}</article>") for k in range(5)]
+    expected |= {10 + k: "sign up now for the weekly letter of this house" for k in range(5)}
+    rows.append((20, "http://other/", f"<article>{notice}<p>text</p></article>"))
+    expected[20] = "sign up now for the weekly letter of this house\ntext"
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts in (1, 5):
+        assert {r["page_id"]: r["text"] for r in op.extract(df.repartition(parts)).collect()} == expected
