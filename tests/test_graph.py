@@ -1,4 +1,6 @@
 import pytest
+import re
+
 from pyspark.sql import functions as F
 
 from weblode.operators import links
@@ -148,3 +150,12 @@ def test_long_lists_are_split(spark):
     assert max(map(len, hub)) < 300
     assert sorted(sum(hub, [])) == sorted(f"n{i}" for i in range(300))
     assert sum(len(row["links"].split("|")) for row in lists) == 900
+
+
+def test_pairs_of_parts_are_told_apart_as_numbers(spark):
+    from weblode.registered import _part_graph
+
+    graph = _part_graph(spark, "/root/testdata/sf0.001")
+    assert graph.dtypes == [("src", "string"), ("dst", "string")]
+    plan = graph._jdf.queryExecution().optimizedPlan().toString()
+    assert re.match(r"Aggregate \[src#\d+L, dst#\d+L\]", plan), plan
