@@ -307,3 +307,16 @@ def test_top_pages_open_only_their_website_buckets(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("dynamicpruning") >= 2, plan  # websites, and ranks
     assert len(found.collect()) == 2
+
+
+def test_loads_compress_ids_and_compute_them_as_before(spark, tmp_path):
+    path = tmp_path / "store"
+    postings = spark.range(300).selectExpr("concat('w', id % 7) AS word", "concat('a.org/', id) AS url", "id AS count")
+    pipeline.load(str(path), postings, spark.createDataFrame([("a.org/1", 2.0)], "url string, rank double"))
+    for table in ("inv_index", "websites", "page_rank"):
+        names = [f.name for f in (path / table).glob("bucket=*/*.parquet")]
+        assert names and all(name.endswith(".zstd.parquet") for name in names), names
+    index = read_store(spark, str(path)).inv_index.drop("bucket")
+    expected = store_postings(postings)
+    assert index.schema.simpleString() == expected.schema.simpleString()
+    assert sorted(map(tuple, index.collect())) == sorted(map(tuple, expected.collect()))
