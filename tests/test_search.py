@@ -195,3 +195,13 @@ def test_row_numbers_of_a_group_that_spans_ranges(spark, request):
         columns = ["key", "id", "score", "n"]
         got = row_numbers(df, keys, order).select(columns)
         assert sorted(found(got), key=str) == sorted(found(expected.select(columns)), key=str)
+
+
+def test_numbering_shuffles_no_row_after_its_ranges_are_written(spark):
+    from weblode.operators.ranking import row_numbers
+
+    df = spark.range(500).selectExpr("concat('k', id % 3) AS key", "id")
+    numbered = row_numbers(df, ["key"], [df["id"].desc()])
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Window" not in plan, plan
+    assert {(r["id"], r["n"]) for r in numbered.where("key = 'k1'").collect()} == {(499 - 3 * k, k + 1) for k in range(167)}
