@@ -1,6 +1,7 @@
-import pytest
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from weblode.operators import links
