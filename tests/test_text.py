@@ -14,7 +14,7 @@ from weblode.functions.text import (
     split_tokens,
     trim_token,
 )
-from weblode.operators.index import term_counts, words
+from weblode.operators.index import counts_of, term_counts, words
 from weblode.sources.tables import read_documents
 
 TEXT = "Don't re-read v2.0, it's naïve! C++ a:b x&y 100% [ok] foo_bar; El ¿Qué? OK"
@@ -86,3 +86,22 @@ def test_store_words(values):
     assert values(is_store_word, words_in) == [
         True, True, False, False, False, False, True, False,
     ]
+
+
+@pytest.mark.parametrize("word", ["The", "ok", "b2", "x-y", "K", "a|b"])
+def test_counts_of_one_word_are_those_of_all(spark, word):
+    rows = [
+        ("a", "The the THE, other-the_the;the"), ("a", "the"), ("b", "them athe the\u00e9 \u00e9the the."), ("c", None), (None, "the ok"),
+        ("d", "\x01the\x02 the\x00x \"the\" (the) t'he the:the OK ok k"), ("e", "b2 B2-b2 b 2 x-y a|b"), ("f", ""), ("b", TEXT),
+    ]
+    texts = spark.createDataFrame(rows, "url string, text string")
+    of_all = term_counts(texts).where(F.col("word") == word.lower())
+    got = counts_of(texts, word)
+    assert got.dtypes == of_all.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, of_all.collect()))
+
+
+def test_one_word_is_counted_once_and_without_the_others(spark):
+    texts = spark.createDataFrame([("a", "the")], "url string, text string")
+    plan = counts_of(texts, "the")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("regexp_extract_all") + plan.count("regexp_count") <= 1, plan
