@@ -1,12 +1,15 @@
 """Token ids: the encoder against the library, exact round trips."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from weblode.llm import op01_repair as op
+from weblode.llm import pretokens
 from weblode.llm.common import scratch_dir
 from weblode.llm.pretokens import Encoder
 
@@ -91,3 +94,30 @@ def test_frequent_keys_against_counts():
         for least in (1, 2, 12):
             got = op._frequent(key, least)
             assert np.array_equal(got[0], values[counts >= least]) and np.array_equal(got[1], counts[counts >= least])
+
+
+def test_remembered_pieces_stay_bounded_and_frequent_ones_known(monkeypatch):
+    monkeypatch.setattr(pretokens, "REMEMBERED", 200)
+    coder = Encoder(op.tokenizer_path())
+    coded, code = [], coder._coded
+    monkeypatch.setattr(coder, "_coded", lambda texts: coded.extend(texts) or code(texts))
+    common = "the same words in every text"
+    for k in range(60):
+        texts = [common, " ".join(f"w{k}x{n}" for n in range(20))]
+        ids, counts = coder.encode(texts)
+        expected = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [i for e in expected for i in e] and counts.tolist() == [len(e) for e in expected]
+        assert len(coder.known) <= 200 + 100 and len(coder.again) >= len(coder.known)
+    assert coded.count(" same") == 1
+
+
+def test_long_texts_take_little_memory(coder):
+    rng = random.Random(5)
+    texts = [" ".join(str(rng.randrange(10**9)) for _ in range(3000)) for _ in range(20)]
+    rows = pa.RecordBatch.from_pydict({"key": list(range(20)), "text": texts})
+    list(op._shards(op.tokenizer_path(), op.END)(iter([rows])))
+    tracemalloc.start()
+    list(op._shards(op.tokenizer_path(), op.END)(iter([rows] * 6)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
