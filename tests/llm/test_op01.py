@@ -101,23 +101,23 @@ def test_remembered_pieces_stay_bounded_and_frequent_ones_known(monkeypatch):
     coder = Encoder(op.tokenizer_path())
     coded, code = [], coder._coded
     monkeypatch.setattr(coder, "_coded", lambda texts: coded.extend(texts) or code(texts))
-    common = "the same words in every text"
-    for k in range(60):
-        texts = [common, " ".join(f"w{k}x{n}" for n in range(20))]
+    common, rng = "the same words in every text", random.Random(2)
+    for _ in range(60):
+        texts = [common, " ".join("".join(rng.choices("abcdefgh", k=8)) for _ in range(20))]
         ids, counts = coder.encode(texts)
         expected = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
         assert ids.tolist() == [i for e in expected for i in e] and counts.tolist() == [len(e) for e in expected]
-        assert len(coder.known) <= 200 + 100 and len(coder.again) >= len(coder.known)
+        assert len(coder.known) <= 200 + 100
     assert coded.count(" same") == 1
 
 
 def test_long_texts_take_little_memory(coder):
     rng = random.Random(5)
     texts = [" ".join(str(rng.randrange(10**9)) for _ in range(3000)) for _ in range(20)]
-    rows = pa.RecordBatch.from_pydict({"key": list(range(20)), "text": texts})
-    list(op._shards(op.tokenizer_path(), op.END)(iter([rows])))
+    rows = pa.RecordBatch.from_pydict({"key": list(range(120)), "text": texts * 6})
+    list(op._shards(op.tokenizer_path(), op.END)(iter([rows.slice(0, 20)])))
     tracemalloc.start()
-    list(op._shards(op.tokenizer_path(), op.END)(iter([rows] * 6)))
+    list(op._shards(op.tokenizer_path(), op.END)(iter([rows])))
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert peak < 100e6
+    assert peak < 60e6
