@@ -118,6 +118,24 @@ def test_steps_do_not_shuffle_the_links(spark):
         assert "Exchange" not in joined, plan
 
 
+def test_laid_out_links_leave_no_table(spark):
+    from weblode.operators.pagerank import lay_out, rank_links, rank_nodes
+    from weblode.scratch import stage
+
+    edges, before = stage(graph(spark)), {t.name for t in spark.catalog.listTables()}
+    for per_slot in (1_000_000, 1):
+        nodes = stage(rank_nodes(edges, links_per_slot=per_slot))
+        laid_out = lay_out(edges, nodes)
+        try:
+            assert {t.name for t in spark.catalog.listTables()} == before
+            heavy = nodes.where("slots > 1").count()
+            assert ("slot" in laid_out.columns) == (heavy > 0)
+            got = sorted(map(tuple, laid_out.select("src", "dst").collect()))
+            assert got == sorted(map(tuple, rank_links(edges, nodes, heavy).select("src", "dst").collect()))
+        finally:
+            laid_out.unpersist()
+
+
 def test_link_graph(spark):
     found = pages(
         spark,
