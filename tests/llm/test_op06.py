@@ -143,3 +143,27 @@ def test_notices_in_marked_articles_go(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     for parts in (1, 5):
         assert {r["page_id"]: r["text"] for r in op.extract(df.repartition(parts)).collect()} == expected
+
+
+def test_menus_of_marked_pages_count_for_pages_that_mark_no_article(spark):
+    """Three pages of the host mark the menu, one holds it unmarked; what only two
+    mark stays, and so does what articles repeat."""
+    menu = "home news about contact terms privacy help login sitemap"
+    line = "this line stands in many articles and belongs to them"
+    rows, expected = [], {}
+    for host, n in (("h", 3), ("few", 2)):
+        for k in range(n):
+            rows.append((len(rows), f"http://{host}/{k}", f"<aside>{menu}</aside><article><p>text {k}</p><p>{line}</p><p>more</p></article>"))
+            expected[len(rows) - 1] = f"text {k}\n{line}\nmore"
+        rows.append((len(rows), f"http://{host}/x", f"<div>{menu}</div><p>one page that marks nothing</p><p>{line}</p>"))
+        expected[len(rows) - 1] = f"{menu if n < 3 else ''}\none page that marks nothing\n{line}".strip()
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts in (1, 5):
+        assert {r["page_id"]: r["text"] for r in op.extract(df.repartition(parts)).collect()} == expected
+
+
+def test_paragraphs_that_sidebars_hold_too_stay(spark):
+    teaser = "how the old mill on the river was saved at last"
+    rows = [(k, f"http://h/{k}", f"<main><h1>{teaser}</h1><p>{teaser}</p><p>part {k}</p></main><aside>{teaser}</aside>") for k in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in op.extract(df).collect()} == {k: f"{teaser}\n{teaser}\npart {k}" for k in range(6)}
