@@ -1,0 +1,59 @@
+"""What searches over linked documents shuffle and leave behind."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from weblode import registered
+from weblode.operators import index, pagerank
+from weblode.plans import pipeline
+from weblode.plans import store as stores
+from weblode.scratch import CLEANUP, stage
+from weblode.sources.tables import read_documents
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+@pytest.mark.parametrize("copies", [1, 300])
+def test_texts_are_shuffled_once_to_count_their_words(spark, tmp_path, copies):
+    """By their key, unless one has too many rows for a task; rows are the same."""
+    rows = [(k, f"a b{k} a") for k in range(20)] + [(7, "a c")] * copies + [(None, "d")]
+    path = str(tmp_path / "documents")
+    spark.createDataFrame(rows, "id long, text string").write.parquet(path)
+    counts = index.term_counts(read_documents(spark, path, "id", "text"))
+    assert exchanges(counts) == (1 if copies == 1 else 2)
+    expected = {("a", str(k)): 2 + (k == 7) * copies for k in range(20)} | {(f"b{k}", str(k)): 1 for k in range(20)}
+    expected |= {("c", "7"): copies, ("d", None): 1}
+    assert {(r["word"], r["url"]): r["count"] for r in counts.collect()} == expected
+
+
+def test_node_ids_are_short_unless_two_nodes_would_share_one(spark, monkeypatch):
+    edges = stage(spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "c"), ("c", "a")], "src string, dst string"))
+    assert dict(pagerank.rank_nodes(edges).dtypes)["id"] == "bigint"
+    expected = {r["url"]: r["rank"] for r in pagerank.page_rank(edges, 3).collect()}
+    own = pagerank._node_id
+    monkeypatch.setattr(pagerank, "_node_id", lambda url, wide: own(url, True) if wide else F.lit(1).cast("bigint"))
+    assert {r["url"]: r["rank"] for r in pagerank.page_rank(edges, 3).collect()} == pytest.approx(expected)
+
+
+def test_best_pages_by_url_are_those_of_the_written_tables(spark, tmp_path):
+    postings = [(f"w{k}", f"u{p}", (p * 7 + k) % 25 + 1) for k in range(4) for p in range(15 * k + 1)] + [("w3", None, 2)]
+    ranks = [(f"u{p}", p % 5 / 4) for p in range(0, 40, 2)] + [("elsewhere", 9.0)]
+    postings = spark.createDataFrame(postings, "word string, url string, count bigint")
+    path = str(tmp_path / "s")
+    pipeline.load(path, postings, spark.createDataFrame(ranks, "url string, rank double"), heavy_postings=10)
+    store = stores.read_store(spark, path)
+    best = stores.best_rows(store.inv_index.drop("bucket"), store.page_rank.drop("bucket"), 10)
+    assert sorted(map(str, store.best.select(best.columns).collect())) == sorted(map(str, best.collect()))
+    assert store.best.select("word").distinct().count() == 3
+
+
+def test_only_the_store_is_left_of_loading(spark):
+    shared, cleanup = spark.conf.get("spark.checkpoint.dir"), spark.conf.get(CLEANUP, None)
+    before = set(os.listdir(shared)) if os.path.exists(shared) else set()
+    store = registered._linked(spark, "/root/testdata/sf0.001", 20)
+    assert len(set(os.listdir(shared)) - before) == 1 and store.inv_index.count() and store.best.count()
+    assert spark.conf.get(CLEANUP, None) == cleanup
