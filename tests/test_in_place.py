@@ -165,3 +165,19 @@ def test_an_empty_crawl(spark, tmp_path):
     (tmp_path / "crawl").mkdir()
     pack_crawl(spark, str(tmp_path / "crawl"), str(tmp_path / "pages"))
     assert spark.read.parquet(str(tmp_path / "pages")).select("url", F.length("html")).count() == 0
+
+
+def test_loose_files_are_listed_by_few_tasks(spark, tmp_path):
+    """And not by one task each, which took most of the time of a slice."""
+    names = [f"hot.org/{k}.html" for k in range(60)]
+    for name in names:
+        put(tmp_path, name, f"<body>{name}</body>")
+    context = spark.sparkContext
+    context.setJobGroup("listing", "listing")
+    before = spark.conf.get(crawls.LISTERS, None)
+    files = crawls._files(spark, [str(tmp_path / name) for name in names])
+    context.setJobGroup("other", "other")
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    assert stages and all(tracker.getStageInfo(s).numTasks <= context.defaultParallelism for s in stages)
+    assert files.count() == 60 and spark.conf.get(crawls.LISTERS, None) == before
