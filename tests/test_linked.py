@@ -39,6 +39,13 @@ def test_node_ids_are_short_unless_two_nodes_would_share_one(spark, monkeypatch)
     assert {r["url"]: r["rank"] for r in pagerank.page_rank(edges, 3).collect()} == pytest.approx(expected)
 
 
+def test_missing_nodes_have_no_rank_and_pass_none_on(spark):
+    edges = [("a", "b"), ("a", None), (None, "b"), ("b", "a"), (None, None)]
+    edges = stage(spark.createDataFrame(edges, "src string, dst string"))
+    ranks = {r["url"]: r["rank"] for r in pagerank.page_rank(edges, 1).collect()}
+    assert ranks == pytest.approx({"a": 0.15 + 0.85, "b": 0.15 + 0.85 / 2})
+
+
 def test_best_pages_by_url_are_those_of_the_written_tables(spark, tmp_path):
     postings = [(f"w{k}", f"u{p}", (p * 7 + k) % 25 + 1) for k in range(4) for p in range(15 * k + 1)] + [("w3", None, 2)]
     ranks = [(f"u{p}", p % 5 / 4) for p in range(0, 40, 2)] + [("elsewhere", 9.0)]
